@@ -43,3 +43,15 @@ def differences(got: pd.DataFrame, expected: pd.DataFrame) -> str | None:
             at = int(np.flatnonzero(~same.to_numpy())[0])
             return f"{c}: {int((~same).sum())} differ, first {got.iloc[at].to_dict()} != {expected.iloc[at].to_dict()}"
     return None
+
+
+#: Spark types and the oracle's types for the same column.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
+def type_differences(dtypes: list[tuple[str, str]], con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    described = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    return [f"{n}: {t} != {described.get(n)}" for n, t in dtypes if TYPES.get(t, t) != described.get(n)]
