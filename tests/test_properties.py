@@ -42,8 +42,12 @@ def brute_ranks(user_values, item_values, ids):
     return ranks
 
 
+@pytest.mark.parametrize("prefix_part, array_size", [(1.2, 4096), (3, 64), (128, 16)])
 @pytest.mark.parametrize("as_text", [False, True])
-def test_group_playlists_equal_brute_force(spark, as_text):
+def test_group_playlists_equal_brute_force(spark, monkeypatch, as_text, prefix_part, array_size):
+    """Over prefixes only, over both, and over arrays only."""
+    monkeypatch.setattr(rk, "PREFIX_PART", prefix_part)
+    monkeypatch.setattr(rk, "ARRAY_SIZE", array_size)
     users, uv = random_vectors(spark, "user_id", 12)
     items, iv = random_vectors(spark, "track_id", 150, seed=1, as_text=as_text)
     ids = [f"t{i}" if as_text else i for i in range(150)]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tunequorum.operators.scoring import score_block_tops, score_ends, score_pairs
 from tunequorum.runtime import durable
@@ -79,6 +81,11 @@ LIST_PARTS = 16
 LEVEL_BASE = 8.0
 #: Undecided playlists are ranked again over prefixes that are this many times longer.
 GROWTH = 4
+#: A prefix pays while it is shorter than this part of the catalogue; beyond, whole lists are added as arrays,
+#: which cost about a hundredth per track (measured).
+PREFIX_PART = 128
+#: Catalogue tracks per rank array.
+ARRAY_SIZE = 4096
 
 
 def _level(rank: Column) -> Column:
@@ -134,6 +141,95 @@ def _best_rank_sums(planned: DataFrame, lists: DataFrame, key: str, longest: int
     )
 
 
+def _rank_arrays(ranks: DataFrame, n_parts: int) -> DataFrame:
+    """Full lists as arrays (user_id, part, ranks): the ranks of the tracks of a catalogue part in id order."""
+    entry = F.struct("track_id", F.col("rank").cast("int").alias("rank"))
+    return (
+        ranks.groupBy("user_id", F.pmod(F.xxhash64("track_id"), F.lit(n_parts)).cast("int").alias("part"))
+        .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["rank"]).alias("ranks"))
+    )
+
+
+def _add_rank_arrays(planned: DataFrame, ranks: DataFrame, items: DataFrame, key: str, longest: int, n_items: int) -> DataFrame:
+    """Best tracks of each group by rank sums over the full lists, as sums of rank arrays.
+
+    One row carries the ranks of a member over a catalogue part, so the shuffle moves 4 bytes per
+    member and track. The rows of a group and part come in sequence and are added up with numpy; only
+    the best ``longest`` tracks of the part leave the task.
+    """
+    n_parts = max(1, -(-n_items // ARRAY_SIZE))
+    salted = F.pmod("part", F.lit(LIST_PARTS)).alias("_part")
+    spread = planned.select(
+        F.col(key).alias("k"), "user_id", F.col("share").cast("double").alias("share"),
+        F.explode(F.sequence(F.lit(0), F.lit(min(n_parts, LIST_PARTS) - 1))).alias("_part"),
+    )
+    partitions = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (
+        spread.join(_rank_arrays(ranks, n_parts).select("*", salted), ["user_id", "_part"])
+        .select("part", "k", "share", "ranks")
+        .repartition(partitions, "part", "k").sortWithinPartitions("part", "k")
+    )
+
+    def best_of(part, group, sums):
+        if len(sums) > longest:
+            cut = np.partition(sums, longest - 1)[longest - 1]
+            slots = np.flatnonzero(sums <= cut)
+            slots = slots[np.argsort(sums[slots], kind="stable")][:longest]  # ties to the smaller id
+        else:
+            slots = np.argsort(sums, kind="stable")
+        n = len(slots)
+        return np.full(n, part, "int32"), [group] * n, slots.astype("int32"), sums[slots]
+
+    names = ["part", "k", "slot", "rank_sum"]
+    key_type = pa.string() if isinstance(planned.schema[key].dataType, T.StringType) else pa.int64()
+
+    def table(found):
+        columns = list(zip(*found))
+        keys = [k for group in columns[1] for k in group]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(columns[0])), pa.array(keys, type=key_type),
+             pa.array(np.concatenate(columns[2])), pa.array(np.concatenate(columns[3]))], names=names)
+
+    def add_up(batches):
+        at, total = None, None
+        for batch in batches:
+            found = []
+            part, group, share, lists = (batch.column(c).to_pylist() if c == 1 else batch.column(c) for c in range(4))
+            part, share = part.to_numpy(), share.to_numpy()
+            for row in range(batch.num_rows):
+                here = (part[row], group[row])
+                values = lists[row].values.to_numpy() * share[row]
+                if here == at:
+                    total = total + values
+                else:
+                    if at is not None:
+                        found.append(best_of(*at, total))
+                    at, total = here, values
+            if found:
+                yield table(found)
+        if at is not None:
+            yield table([best_of(*at, total)])
+
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("k", planned.schema[key].dataType),
+        T.StructField("slot", T.IntegerType()), T.StructField("rank_sum", T.DoubleType()),
+    ])
+    ids = (
+        items.groupBy(F.pmod(F.xxhash64("track_id"), F.lit(n_parts)).cast("int").alias("part"))
+        .agg(F.array_sort(F.collect_list("track_id")).alias("ids"))
+        .select("part", F.posexplode("ids").alias("slot", "track_id"))
+    )
+    order = Window.partitionBy(key).orderBy("rank_sum", "track_id")
+    best = (
+        rows.mapInArrow(add_up, schema).join(ids, ["part", "slot"]).withColumnRenamed("k", key)
+        .withColumn("position", F.row_number().over(order).cast("bigint")).where(F.col("position") <= longest)
+    )
+    per_group = planned.select(key, "shares", "n_wanted").distinct()
+    return best.join(per_group, key).where(F.col("position") <= F.col("n_wanted")).withColumn(
+        "mean_rank", F.col("rank_sum") / F.col("shares")
+    )
+
+
 def group_playlists(
     groups: DataFrame, members: DataFrame, users: DataFrame, items: DataFrame,
     key: str = "request_id", length: str = "playlist_length", k_per_user: int | None = None,
@@ -145,9 +241,10 @@ def group_playlists(
     (track_id, vec). Members without a vector are left out of the mean; a group of one gets its member's
     list; ties go to the smaller track id.
 
-    The ranks are those of the full lists, but only prefixes of them are joined to the groups. A
-    playlist is decided when all its tracks occur in the prefixes of all members: every other track then
-    has a sum at least as large. Undecided groups go on with longer prefixes, in the end the full lists.
+    The ranks are those of the full lists. Small groups over a large catalogue are tried with prefixes of
+    the lists first: a playlist is decided when all its tracks occur in the prefixes of all members, since
+    every other track then has a sum at least as large. Undecided groups go on with longer prefixes, and
+    where prefixes no longer pay, the full lists are added up as arrays.
 
     With ``k_per_user`` each list is cut at that rank and only tracks in all the lists of a group count.
     With ``weight``, a positive column of ``members``, the mean is weighted by it.
@@ -162,37 +259,49 @@ def group_playlists(
     n_items = items.count()
     depth = F.lit(int(k_per_user)) if k_per_user else prefix_depth(F.col("n_members"), F.col("n_wanted"), n_items)
     planned = durable(warm.join(wanted.join(sizes, key).withColumn("depth", depth.cast("bigint")), key))
-    lists = stored_lists(users.join(planned.select("user_id"), "user_id", "left_semi"), items, n_items)
     result = [key, "position", "track_id", "mean_rank"]
+    pays = F.col("depth") * PREFIX_PART < n_items
 
     def bounds(open_groups: DataFrame):
-        return open_groups.agg(F.max("n_wanted").alias("longest"), F.max("depth").alias("depth")).first()
+        return open_groups.agg(
+            F.max("n_wanted").alias("longest"), F.max("depth").alias("depth"),
+            F.max(F.when(pays, F.col("depth"))).alias("shallow"), F.bool_or(~pays).alias("deep"),
+        ).first()
+
+    limit = bounds(planned)
+    longest = limit.longest or 0
+    listed_users = users.join(planned.select("user_id"), "user_id", "left_semi")
+    if k_per_user is None and limit.shallow is None:
+        ranks = rank_scores(score_pairs(listed_users, items), banded=n_items > LARGE_CATALOGUE)
+        return _add_rank_arrays(planned, ranks, items, key, longest, n_items).select(*result)
+
+    lists = stored_lists(listed_users, items, n_items)
 
     def prefixes(deepest: int) -> DataFrame:
         return lists.where((F.col("level") <= _level(F.lit(deepest))) & (F.col("rank") < deepest))
 
-    limit = bounds(planned)
     if k_per_user:
-        return _best_rank_sums(planned, prefixes(limit.depth or 0), key, limit.longest or 0, True).select(*result)
+        return _best_rank_sums(planned, prefixes(limit.depth or 0), key, longest, True).select(*result)
 
     whole = Window.partitionBy(key)
     decided = F.min(F.col("n_lists") == F.col("n_members")).over(whole) & (
         F.count(F.lit(1)).over(whole) == F.least(F.col("n_wanted"), F.lit(n_items))
     )
-    rounds, open_groups = [], planned
-    while True:
-        best = _best_rank_sums(open_groups, prefixes(limit.depth or 0), key, limit.longest or 0, False)
-        best = durable(best.select(*result, decided.alias("decided")))
+    done, open_groups = [], planned
+    while limit.shallow is not None:
+        best = durable(
+            _best_rank_sums(open_groups.where(pays), prefixes(limit.shallow), key, longest, False)
+            .select(*result, decided.alias("decided"))
+        )
         settled = best.where("decided")
-        rounds.append(settled.drop("decided"))
-        open_groups = (
-            open_groups.join(settled.select(key).distinct(), key, "left_anti")
-            .withColumn("depth", F.least(F.col("depth") * GROWTH, F.lit(n_items)).cast("bigint"))
+        done.append(settled.drop("decided"))
+        open_groups = open_groups.join(settled.select(key).distinct(), key, "left_anti").withColumn(
+            "depth", F.when(pays, F.col("depth") * GROWTH).otherwise(F.col("depth"))
         )
         limit = bounds(open_groups)
-        if limit.depth is None:
-            break
-    return reduce(DataFrame.unionByName, rounds)
+    if limit.deep:
+        done.append(_add_rank_arrays(open_groups, lists, items, key, longest, n_items).select(*result))
+    return reduce(DataFrame.unionByName, done)
 
 
 def group_playlists_by_product(
