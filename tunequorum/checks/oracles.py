@@ -52,7 +52,7 @@ VIEWS = {
     "requests": """select o_orderkey as request_id, o_custkey % 20 as user_id, o_custkey as guest_id,
         cast(o_orderkey % 23 as int) - 2 as playlist_length,
         timestamp '2024-01-01 00:00:00' + to_days(cast(o_orderkey % 28 as int)) as timestamp
-      from orders where o_orderkey % 50 = 0""",
+      from orders""",
     "request_members": """select request_id, user_id from requests
       union select request_id, (user_id * 7 + 1) % 20 from requests
       union select request_id, guest_id from requests""",
@@ -102,8 +102,8 @@ VIEWS = {
     "positives": """select *, row_number() over (partition by user_id order by r, track_id) - 1 as j
       from candidate_ranks where pos = 1""",
     "cold": "select c_custkey as user_id from customer where c_custkey not in (select user_id from session_ids)",
-    "group_sizes": f"""select request_id as group_id, 2 + {hash15(3, "'size'", 'request_id')} % 8 as w,
-        (select count(*) from session_ids) as n from requests""",
+    "group_sizes": f"""select s_suppkey as group_id, 2 + {hash15(3, "'size'", 's_suppkey')} % 8 as w,
+        (select count(*) from session_ids) as n from supplier""",
     "group_draws": drawn("group_sizes", "group_id", "n", "w", 3),
     "group_members": """select d.group_id, u.user_id from group_draws d join user_index u on u.idx = d.position""",
     "answers": """select q.request_id, case when q.user_id % 2 = 0 then 'base' else 'advanced' end as model,
@@ -286,7 +286,7 @@ BODIES = {
                 'request_id, length')}) s group by length""",
     "random_spread": f"""select count(*) as n_playlists, round(avg(spread), 6) as mean_spread from (
         {spread(f'''select d.rep, t.track_id from ({drawn(
-            '(select request_id as rep, (select count(*) from tracks) as n from requests)', 'rep', 'n', '20', 7)}) d
+            '(select s_suppkey as rep, (select count(*) from tracks) as n from supplier)', 'rep', 'n', '20', 7)}) d
           join track_index t on t.idx = d.position''', 'rep')}) s""",
     "model_spread": f"""select count(*) as n_groups, round(avg(a.spread), 6) as clustering_fm,
         round(avg(b.spread), 6) as clustering_base,

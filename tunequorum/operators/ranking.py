@@ -255,10 +255,34 @@ def group_playlists(
         members.select(key, "user_id", share.alias("share")).distinct()
         .join(users.select("user_id"), "user_id", "left_semi")
     )
-    sizes = warm.groupBy(key).agg(F.count(F.lit(1)).alias("n_members"), F.sum("share").alias("shares"))
+    asked = durable(
+        warm.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("user_id", "share"))).alias("members"))
+        .join(wanted, key)
+    )
+    # the same members ask for one ranking, as long as the longest of their playlists
+    sets = durable(asked.groupBy("members").agg(F.min(key).alias("lead"), F.max("n_wanted").alias("n_wanted")))
+    places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_wanted"))).alias("position")
+    asked_places = asked.select(key, "members", places).join(
+        sets.select("members", "lead"), "members"
+    ).select(key, "lead", "position")
+    best = _set_playlists(sets.withColumnRenamed("lead", key), users, items, key, k_per_user)
+    return asked_places.join(best.withColumnRenamed(key, "lead"), ["lead", "position"]).select(
+        key, "position", "track_id", "mean_rank"
+    )
+
+
+def _set_playlists(sets: DataFrame, users: DataFrame, items: DataFrame, key: str, k_per_user: int | None) -> DataFrame:
+    """Playlists of distinct member sets (key, members ARRAY<STRUCT<user_id, share>>, n_wanted)."""
     n_items = items.count()
+    sized = sets.select(
+        key, "n_wanted", F.size("members").cast("bigint").alias("n_members"),
+        F.aggregate("members", F.lit(0.0), lambda total, m: total + m["share"]).alias("shares"), "members",
+    )
     depth = F.lit(int(k_per_user)) if k_per_user else prefix_depth(F.col("n_members"), F.col("n_wanted"), n_items)
-    planned = durable(warm.join(wanted.join(sizes, key).withColumn("depth", depth.cast("bigint")), key))
+    planned = durable(
+        sized.withColumn("depth", depth.cast("bigint")).select("*", F.explode("members").alias("m"))
+        .select(key, "m.user_id", "m.share", "n_members", "shares", "n_wanted", "depth")
+    )
     result = [key, "position", "track_id", "mean_rank"]
     pays = F.col("depth") * PREFIX_PART < n_items
 

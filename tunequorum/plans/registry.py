@@ -205,7 +205,7 @@ def random_tracks(spark, sf):
 
 
 def _random_groups(spark, sf):
-    groups = ad.requests(spark, sf).select(F.col("request_id").alias("group_id"))
+    groups = ad.group_ids(spark, sf)
     return groups, sp.random_groups(_users(spark, sf), groups, seed=3)
 
 
@@ -344,7 +344,7 @@ def spread_by_length(spark, sf):
 
 @query
 def random_spread(spark, sf):
-    reps = ad.requests(spark, sf).select(F.col("request_id").alias("rep"))
+    reps = ad.group_ids(spark, sf).withColumnRenamed("group_id", "rep")
     drawn = sp.random_tracks(ad.tracks(spark, sf), reps, "rep", F.lit(20), SEED)
     spreads = ev.playlist_spread(drawn, ad.item_vectors(spark, sf), ["rep"])
     return spreads.agg(F.count(F.lit(1)).alias("n_playlists"), F.round(F.avg("spread"), 6).alias("mean_spread"))
@@ -419,7 +419,7 @@ def tuning_log(spark, sf):
     """Two trials over the whole tables, read back from the log."""
     path = scratch_path(spark, "trials")
     split = it.split_interactions(_likes(spark, sf))
-    groups = ad.requests(spark, sf).select(F.col("request_id").alias("group_id"))
+    groups = ad.group_ids(spark, sf)
     trials = spark.range(2).withColumnRenamed("id", "trial")
     tn.run_trials(spark, tn.tuning_candidates(trials, seed=1), split, _history(spark, sf), groups, path)
     return sinks.read_trials(spark, path, tn.TRIAL_LOG)

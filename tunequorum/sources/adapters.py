@@ -83,7 +83,7 @@ def profile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = F.col("o_custkey") % 20
-    return table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 0).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
         host.alias("user_id"),
         F.array((host * 7 + 1) % 20, F.col("o_custkey")).alias("other_users"),
@@ -91,10 +91,15 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def group_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of random groups and repetitions, one per supplier."""
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("group_id"))
+
+
 def request_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A time within the month of the session log for each request."""
     start = F.expr("timestamp_ntz '2024-01-01 00:00:00'")
-    return table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 0).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
         (start + F.make_dt_interval(days=F.col("o_orderkey") % 28)).alias("timestamp"),
     )
