@@ -146,7 +146,7 @@ def _rank_arrays(ranks: DataFrame, n_parts: int) -> DataFrame:
     entry = F.struct("track_id", F.col("rank").cast("int").alias("rank"))
     return (
         ranks.groupBy("user_id", F.pmod(F.xxhash64("track_id"), F.lit(n_parts)).cast("int").alias("part"))
-        .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["rank"]).alias("ranks"))
+        .agg(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["rank"]).alias("ranks"))
     )
 
 
@@ -216,7 +216,7 @@ def _add_rank_arrays(planned: DataFrame, ranks: DataFrame, items: DataFrame, key
     ])
     ids = (
         items.groupBy(F.pmod(F.xxhash64("track_id"), F.lit(n_parts)).cast("int").alias("part"))
-        .agg(F.array_sort(F.collect_list("track_id")).alias("ids"))
+        .agg(F.sort_array(F.collect_list("track_id")).alias("ids"))
         .select("part", F.posexplode("ids").alias("slot", "track_id"))
     )
     order = Window.partitionBy(key).orderBy("rank_sum", "track_id")
@@ -256,7 +256,7 @@ def group_playlists(
         .join(users.select("user_id"), "user_id", "left_semi")
     )
     asked = durable(
-        warm.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("user_id", "share"))).alias("members"))
+        warm.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("user_id", "share"))).alias("members"))
         .join(wanted, key)
     )
     # the same members ask for one ranking, as long as the longest of their playlists

@@ -59,7 +59,7 @@ def prediction_history(routed: DataFrame, playlists: DataFrame, elapsed_seconds:
     ``routed`` carries (request_id, user_id, other_users, timestamp, model, is_ab).
     """
     lists = playlists.groupBy("request_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("position", "track_id"))), lambda e: e["track_id"])
+        F.transform(F.sort_array(F.collect_list(F.struct("position", "track_id"))), lambda e: e["track_id"])
         .alias("playlist")
     )
     track_type = playlists.schema["track_id"].dataType.simpleString()

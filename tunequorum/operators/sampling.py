@@ -32,7 +32,7 @@ def drawn_positions(size: Column, want: Column, seed, *keys) -> Column:
         return hash_number(seed, *keys, j)
 
     permuted = F.transform(
-        F.array_sort(F.transform(F.sequence(zero, size - 1), lambda j: F.struct(draw(j).alias("h"), j.alias("j")))),
+        F.sort_array(F.transform(F.sequence(zero, size - 1), lambda j: F.struct(draw(j).alias("h"), j.alias("j")))),
         lambda x: x["j"],
     )
     drawn = F.array_distinct(
