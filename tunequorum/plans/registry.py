@@ -291,7 +291,9 @@ def list_overlap(spark, sf):
     invited = ad.requests(spark, sf).select(
         F.col("user_id").alias("user_a"), F.explode("other_users").alias("user_b")
     ).where("user_a <> user_b").distinct()
-    known = invited.join(_users(spark, sf).withColumnRenamed("user_id", "user_b"), "user_b", "left_semi")
+    known = invited
+    for side in ("user_a", "user_b"):
+        known = known.join(_users(spark, sf).withColumnRenamed("user_id", side), side, "left_semi")
     lists = durable(rk.user_topk(ad.user_vectors(spark, sf), ad.item_vectors(spark, sf), 200))
     overlap = rk.list_overlap(known, lists, 200)
     return overlap.withColumn("percent_shared", F.round("percent_shared", 6))
