@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from tunequorum.checks.oracles import oracle_sql
+from tunequorum.plans.registry import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-ORACLES = entry.oracle_sql()
+ORACLES = oracle_sql()
 WITHOUT_ORACLE = {"als_train", "model_save_load", "eval_report", "cold_item_factors", "tuning_log"}
 
 
@@ -18,12 +20,12 @@ def con():
 
 
 def test_every_query_is_checked():
-    assert set(entry.queries()) == set(ORACLES) | WITHOUT_ORACLE
+    assert set(QUERIES) == set(ORACLES) | WITHOUT_ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, con, name):
-    result = entry.queries()[name](spark, SF)
+    result = QUERIES[name](spark, SF)
     assert compare.type_differences(result.dtypes, con, ORACLES[name]) == []
     got, expected = result.toPandas(), con.execute(ORACLES[name]).df()
     if name == "sessions_scan":  # pandas keeps nullable integers of the two engines in different types
@@ -36,17 +38,17 @@ def test_entry_has_rows(spark):
 
 
 def test_model_survives_a_round_trip(spark):
-    rows = entry.queries()["model_save_load"](spark, SF).collect()
+    rows = QUERIES["model_save_load"](spark, SF).collect()
     assert rows and all(r.same for r in rows)
 
 
 def test_report_has_all_metrics(spark):
-    row = entry.queries()["eval_report"](spark, SF).first()
+    row = QUERIES["eval_report"](spark, SF).first()
     assert row.auc_train > 0.9 and all(v is not None for v in row)
 
 
 def test_trial_log(spark):
-    rows = entry.queries()["tuning_log"](spark, SF).collect()
+    rows = QUERIES["tuning_log"](spark, SF).collect()
     assert sorted(r.trial for r in rows) == [0, 1]
     for r in rows:
         expected = (r.clustering_base - r.clustering_fm) * 100 / r.clustering_base

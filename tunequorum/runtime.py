@@ -20,7 +20,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tunequorum-checkpoint-")
     sc.setCheckpointDir(folder)
