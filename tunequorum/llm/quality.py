@@ -144,19 +144,22 @@ def thresholds(sketch: DataFrame, lang: str, source: str, n_rules: int) -> DataF
     """(lang, source, q): quartiles of the pair; of its language, or of all, where there are fewer than MIN_GROUP."""
     pair = quartiles(sketch, [lang, source], n_rules)
     by_lang = quartiles(sketch, [lang], n_rules).select(F.col(lang).alias("__lang"), F.col("n_docs").alias("__n"), F.col("q").alias("__q"))
-    every = quartiles(sketch.withColumn("__one", F.lit(1)), ["__one"], n_rules).select("__one", F.col("q").alias("__all"))
-    joined = pair.join(by_lang, pair[lang].eqNullSafe(F.col("__lang"))).withColumn("__one", F.lit(1)).join(every, "__one")
-    q = F.when(F.col("n_docs") >= MIN_GROUP, F.col("q")).when(F.col("__n") >= MIN_GROUP, F.col("__q")).otherwise(F.col("__all"))
+    every = quartiles(sketch, [], n_rules).first()["q"]  # one row
+    every = F.array(*[F.struct(F.lit(q and q.q1).cast("long").alias("q1"), F.lit(q and q.q3).cast("long").alias("q3")) for q in every])
+    joined = pair.join(by_lang, pair[lang].eqNullSafe(F.col("__lang")))
+    q = F.when(F.col("n_docs") >= MIN_GROUP, F.col("q")).when(F.col("__n") >= MIN_GROUP, F.col("__q")).otherwise(every)
     return joined.select(F.col(lang).alias("t_lang"), F.col(source).alias("t_source"), q.alias("q"))
 
 
-def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc, m, base_failed, kept): ``doc`` is the whole row as a struct, ``m`` its measures.
+def judge(
+    docs: DataFrame, lang: str = "lang", source: str = "source", text_col: str = "text", carried: list[str] | None = None
+) -> DataFrame:
+    """(doc, m, base_failed, kept): ``doc`` has the row's columns (or those of ``carried``), ``m`` its measures.
 
     A null text has no words and fails; null languages and sources form groups of their own. Equal rows are
     judged alike, an empty table gives no rows.
     """
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    doc = F.struct(*[F.col(f"`{c}`") for c in carried or docs.columns])
     measured = docs.select(doc.alias("doc"), measures(F.col(text_col)).alias("m"))
     measured = durable(measured.select("doc", "m", base_failed(F.col("m")).alias("base_failed")))
     checks = rules(F.col("m"))
@@ -178,7 +181,7 @@ def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text_col:
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", lang: str = "lang", source: str = "source", text_col: str = "text") -> DataFrame:
     """(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept) of every row."""
-    judged = judge(docs.select(*dict.fromkeys([id_col, lang, source, text_col])), lang, source, text_col)
+    judged = judge(docs, lang, source, text_col, [*dict.fromkeys([id_col, lang, source])])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select(F.col("doc")[id_col].alias(id_col), *[F.col("m")[c].alias(c) for c in counts], "base_failed", "kept")
 

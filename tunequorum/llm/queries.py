@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunequorum.llm import dedup, quality
+from tunequorum.llm import dedup, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,3 +29,13 @@ def op7_quality_rules(spark, sf):
 @query
 def op10_exact_dedup(spark, sf):
     return dedup.exact_groups(_table(spark, sf, "documents"))
+
+
+@query
+def op1_secret_scan(spark, sf):
+    return secrets.secret_spans(_table(spark, sf, "documents"))
+
+
+@query
+def op4_simhash_dedup(spark, sf):
+    return simhash.near_groups(_table(spark, sf, "documents"))
