@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tunequorum.llm import dedup, quality, secrets, simhash
+from tunequorum.llm import dedup, quality, rans, secrets, simhash
+from tunequorum.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,3 +41,10 @@ def op1_secret_scan(spark, sf):
 @query
 def op4_simhash_dedup(spark, sf):
     return simhash.near_groups(_table(spark, sf, "documents"))
+
+
+@query
+def op9_token_files(spark, sf):
+    path = scratch_path(spark, "tokens")
+    rans.write_tokens(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return rans.read_tokens(spark, path)
