@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunequorum.llm import dedup, quality, rans, secrets, simhash
+from tunequorum.llm import bpe, dedup, quality, rans, secrets, simhash
 from tunequorum.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,12 @@ def op9_token_files(spark, sf):
     path = scratch_path(spark, "tokens")
     rans.write_tokens(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return rans.read_tokens(spark, path)
+
+
+@query
+def op6_bpe_round_trip(spark, sf):
+    coded = bpe.encode_decode(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
