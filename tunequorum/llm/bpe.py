@@ -17,7 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunequorum.llm.lexicon import Lexicon, build
-from tunequorum.llm.pieces import PieceEncoder, chunks, pieces
+from tunequorum.llm.pieces import CHUNK_CHARS, PieceEncoder, chunks, pieces
 from tunequorum.runtime import durable
 
 #: Fixed value: how a byte-level tokenizer of this family splits text into words.
@@ -29,6 +29,7 @@ WORD_BYTES = 40
 #: Distinct words that a task counts before it hands them on, and length up to which merging scans all pairs.
 HELD_WORDS = 200_000
 SCAN = 48
+_NONE = 1 << 63
 
 
 def byte_characters() -> dict[str, int]:
@@ -51,10 +52,10 @@ class Vocabulary:
         ids = {bytes(chars[c] for c in token): i for token, i in model["vocab"].items()}
         self.byte_ids = [ids[bytes([b])] for b in range(256)]
         self.bytes_of = {i: token for token, i in ids.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[tuple[int, int], int] = {}  # rank above the joined id in one number
         for rank, pair in enumerate(model["merges"]):
             left, right = (bytes(chars[c] for c in part) for part in (pair.split(" ") if isinstance(pair, str) else pair))
-            self.merges[ids[left], ids[right]] = (rank, ids[left + right])
+            self.merges[ids[left], ids[right]] = rank << 32 | ids[left + right]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in data["added_tokens"]):
             raise ValueError("only plain added tokens without spaces are supported")
@@ -66,32 +67,36 @@ class Vocabulary:
         return self._scan(ids) if len(ids) <= SCAN else self._queue(ids)
 
     def _scan(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        while len(ids) > 1:
-            best = min(((found[0], k, found[1]) for k in range(len(ids) - 1) if (found := merges.get((ids[k], ids[k + 1])))), default=None)
-            if best is None:
-                break
-            ids[best[1] : best[1] + 2] = [best[2]]
+        get = self.merges.get
+        ranks = [get(pair, _NONE) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < _NONE:
+            k = ranks.index(best)
+            ids[k : k + 2] = [best & 0xFFFFFFFF]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = get((ids[k - 1], ids[k]), _NONE)
+            if k < len(ranks):
+                ranks[k] = get((ids[k], ids[k + 1]), _NONE)
         return ids
 
     def _queue(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs over a linked list, for long words."""
         n, merges = len(ids), self.merges
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap: list[tuple[int, int, int, int, int]] = []
+        heap: list[tuple[int, int, int, int]] = []
 
         def offer(k: int) -> None:
             if k >= 0 and after[k] >= 0 and (found := merges.get((ids[k], ids[after[k]]))):
-                heapq.heappush(heap, (found[0], k, ids[k], ids[after[k]], found[1]))
+                heapq.heappush(heap, (found, k, ids[k], ids[after[k]]))
 
         for k in range(n - 1):
             offer(k)
         while heap:
-            _, k, left, right, joined = heapq.heappop(heap)
+            found, k, left, right = heapq.heappop(heap)
             other = after[k]
             if ids[k] != left or other < 0 or ids[other] != right:
                 continue  # one of the two has changed since
-            ids[k], ids[other] = joined, -1
+            ids[k], ids[other] = found & 0xFFFFFFFF, -1
             after[k] = after[other]
             if after[k] >= 0:
                 before[after[k]] = k
@@ -171,6 +176,12 @@ def _distributed(spark: SparkSession, data: bytes) -> str:
     return name
 
 
+def _rows(doc_ids: list, coded: list[bytes], texts: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc_ids, pa.int64()), pa.array(coded, pa.binary()), pa.array(texts, pa.string())], ["id", "ids", "decoded"]
+    )
+
+
 def encode_decode(
     docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LEXICON_WORDS
 ) -> DataFrame:
@@ -202,13 +213,17 @@ def encode_decode(
 
         encoder = PieceEncoder(encode_new)
         for batch in batches:
-            texts = (t.as_py() for t in batch.column("text"))
-            for doc_id, ids in zip(batch.column("id").to_pylist(), encoder(texts)):
+            doc_ids, coded, texts, size = [], [], [], 0
+            for doc_id, ids in zip(batch.column("id").to_pylist(), encoder(t.as_py() for t in batch.column("text"))):
                 decoded = b"".join(map(vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_id], pa.int64()), pa.array([ids], pa.binary()), pa.array([decoded.decode("utf-8", "replace")])],
-                    ["id", "ids", "decoded"],
-                )
+                doc_ids.append(doc_id)
+                coded.append(ids)
+                texts.append(decoded.decode("utf-8", "replace"))
+                size += len(decoded)
+                if size >= CHUNK_CHARS:
+                    yield _rows(doc_ids, coded, texts)
+                    doc_ids, coded, texts, size = [], [], [], 0
+            yield _rows(doc_ids, coded, texts)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, "id long, ids binary, decoded string"
