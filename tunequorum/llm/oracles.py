@@ -49,4 +49,33 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from f left join x on f.lang is not distinct from x.lang and f.source is not distinct from x.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_quality_rules": QUALITY, "op10_exact_dedup": EXACT_DEDUP}
+def packing_sql(max_tokens: int = 4096, buckets: int = 16, batch_tokens: int = 65536, table: str = "documents") -> str:
+    """The dynamic program level by level; a level takes the best last bucket of every prefix of the lengths."""
+    head = rf"""
+with recursive d as (select doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as total from {table}),
+p as (select doc_id, total, unnest(range(0, greatest((total - 1) // {max_tokens}, 0) + 1)) as piece from d),
+c as (select doc_id, piece, piece * {max_tokens} as start, least(total - piece * {max_tokens}, {max_tokens}) as n_tokens from p),
+g as (select n_tokens as len, count(*) as n from c group by 1),
+h as (select row_number() over (order by len) as j, len, (sum(n) over (order by len))::bigint as cnt,
+             (sum(n * len) over (order by len))::bigint as tot from g),
+z as (select 0 as j, 0 as cnt, 0 as tot union all select j, cnt, tot from h),
+l1 as (select j, len * cnt - tot as cost, 0 as came from h)"""
+    levels = [f"""
+l{k} as (select h.j, min(x.cost + h.len * (h.cnt - x.cnt) - (h.tot - x.tot)) as cost,
+      arg_min(x.j, (x.cost + h.len * (h.cnt - x.cnt) - (h.tot - x.tot)) * 100000 + x.j) as came
+      from h join (select z.j, z.cnt, z.tot, case when z.j = 0 then 0 else l.cost end as cost
+                   from z left join l{k - 1} l on l.j = z.j) x on x.j < h.j group by h.j)""" for k in range(2, buckets + 1)]
+    every = " union all ".join(f"select {k} as k, * from l{k}" for k in range(1, buckets + 1))
+    tail = f"""
+a as ({every}),
+top as (select k, j, came from a where j = (select max(j) from h) order by cost, k limit 1),
+walk as (select k, j, came from top union all select a.k, a.j, a.came from walk w join a on a.k = w.k - 1 and a.j = w.came and w.came > 0),
+bounds as (select len as padded_to, row_number() over (order by len) - 1 as bucket from walk join h using (j)),
+b as (select c.*, (select min(padded_to) from bounds where padded_to >= n_tokens) as padded_to from c),
+r as (select b.*, bucket, row_number() over (partition by bucket order by doc_id nulls first, piece, n_tokens) - 1 as number,
+             greatest({batch_tokens} // greatest(b.padded_to, 1), 1) as room from b join bounds using (padded_to))
+select doc_id, piece, start, n_tokens, bucket, padded_to, number // room as batch, number % room as slot from r"""
+    return ",".join([head, *levels, tail])
+
+
+ORACLE_SQL: dict[str, str] = {"op2_packing": packing_sql(), "op7_quality_rules": QUALITY, "op10_exact_dedup": EXACT_DEDUP}

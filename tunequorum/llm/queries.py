@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunequorum.llm import bpe, dedup, quality, rans, secrets, simhash
+from tunequorum.llm import bpe, dedup, packing, quality, rans, secrets, simhash
 from tunequorum.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,8 @@ def op6_bpe_round_trip(spark, sf):
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op2_packing(spark, sf):
+    return packing.pack(_table(spark, sf, "documents"))
