@@ -78,4 +78,26 @@ select doc_id, piece, start, n_tokens, bucket, padded_to, number // room as batc
     return ",".join([head, *levels, tail])
 
 
-ORACLE_SQL: dict[str, str] = {"op2_packing": packing_sql(), "op7_quality_rules": QUALITY, "op10_exact_dedup": EXACT_DEDUP}
+PREFERENCES = """
+with t as (select distinct conv_id // 2 as pair_id, conv_id % 2 = 0 as side, turn, role, text from conversations where conv_id is not null),
+n as (select *, row_number() over (partition by pair_id, side order by turn nulls first, role nulls first, text nulls first) as k,
+             '<|' || coalesce(role, '') || '|>' || chr(10) as head, coalesce(text, '') || '<|end|>' || chr(10) as body from t),
+s as (select pair_id, count(*) filter (side) as na, count(*) filter (not side) as nb from n group by 1),
+d as (select a.pair_id, min(a.k) as k from n a join n b on a.pair_id = b.pair_id and a.k = b.k and a.side and not b.side
+      where a.role is distinct from b.role or a.text is distinct from b.text group by 1),
+c as (select s.pair_id, coalesce(d.k - 1, least(na, nb)) as n_common from s left join d using (pair_id)),
+r as (select n.*, n_common, head || body as shown,
+             length(head) || ':0,' || length(body) || ':' || case when role = 'assistant' then 1 else 0 end as runs from n join c using (pair_id))
+select pair_id, any_value(n_common) as n_common,
+       coalesce(string_agg(shown, '' order by k) filter (side and k <= n_common), '') as prompt,
+       coalesce(string_agg(shown, '' order by k) filter (side and k > n_common), '') as chosen,
+       coalesce(string_agg(shown, '' order by k) filter (not side and k > n_common), '') as rejected,
+       coalesce(string_agg(runs, ',' order by k) filter (side and k > n_common), '') as chosen_mask,
+       coalesce(string_agg(runs, ',' order by k) filter (not side and k > n_common), '') as rejected_mask
+from r group by pair_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_packing": packing_sql(), "op5_preference_format": PREFERENCES,
+    "op7_quality_rules": QUALITY, "op10_exact_dedup": EXACT_DEDUP,
+}

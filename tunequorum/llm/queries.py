@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunequorum.llm import bpe, dedup, packing, quality, rans, secrets, simhash
+from tunequorum.llm import bpe, dedup, packing, preferences, quality, rans, secrets, simhash
 from tunequorum.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,12 @@ def op6_bpe_round_trip(spark, sf):
 @query
 def op2_packing(spark, sf):
     return packing.pack(_table(spark, sf, "documents"))
+
+
+@query
+def op5_preference_format(spark, sf):
+    """Conversations 2k are the chosen ones, 2k + 1 the rejected ones of pair k."""
+    conv = F.col("conv_id")
+    return preferences.preference_pairs(
+        _table(spark, sf, "conversations"), F.floor(conv / 2).cast("long"), F.pmod(conv, F.lit(2)) == 0
+    )
