@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunequorum.llm import bpe, dedup, packing, preferences, quality, rans, secrets, simhash
+from tunequorum.llm import bpe, dedup, licenses, packing, preferences, quality, rans, secrets, simhash
 from tunequorum.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op5_preference_format(spark, sf):
     return preferences.preference_pairs(
         _table(spark, sf, "conversations"), F.floor(conv / 2).cast("long"), F.pmod(conv, F.lit(2)) == 0
     )
+
+
+@query
+def op3_licence_scan(spark, sf):
+    return licenses.licence_report(_table(spark, sf, "documents")).drop("spans")
