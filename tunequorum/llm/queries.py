@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunequorum.llm import bpe, dedup, licenses, packing, preferences, quality, rans, secrets, simhash
+from tunequorum.llm import (
+    bpe, dedup, extraction, licenses, packing, preferences, quality, rans, secrets, simhash,
+)
 from tunequorum.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +78,8 @@ def op5_preference_format(spark, sf):
 @query
 def op3_licence_scan(spark, sf):
     return licenses.licence_report(_table(spark, sf, "documents")).drop("spans")
+
+
+@query
+def op8_html_extraction(spark, sf):
+    return extraction.extract(_table(spark, sf, "pages"))
