@@ -17,7 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunequorum.llm.lexicon import Lexicon, build
-from tunequorum.llm.pieces import CHUNK_CHARS, PieceEncoder, chunks, pieces
+from tunequorum.llm.pieces import CHUNK_CHARS, PieceEncoder, chunks, pieces, worker_memory
 from tunequorum.runtime import durable
 
 #: Fixed value: how a byte-level tokenizer of this family splits text into words.
@@ -211,7 +211,7 @@ def encode_decode(
                     packed[w] = lexicon.packed_ids(n) if n >= 0 else np.array(vocabulary.merge(w.encode("utf-8")), "<u4").tobytes()
             return [b"".join(map(packed.__getitem__, words)) for words in split]
 
-        encoder = PieceEncoder(encode_new)
+        encoder = PieceEncoder(encode_new, worker_memory(lexicon_file))
         for batch in batches:
             doc_ids, coded, texts, size = [], [], [], 0
             for doc_id, ids in zip(batch.column("id").to_pylist(), encoder(t.as_py() for t in batch.column("text"))):

@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 #: Byte-level tokenizers never join what stands on the two sides of a place before a single space between
 #: characters that aren't white space, so a text may be cut there.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+
+#: Nor do they join a letter or digit with marks like these behind it.
+MARKS = ".,;:!?|#$%&*"
 
 #: Characters of texts that are in work together, and pieces that a worker remembers before it starts anew.
 CHUNK_CHARS = 1 << 20
-MEMORY = 300_000
+MEMORY = 700_000
+
+
+def cut(text: str) -> list[str]:
+    """``text`` cut at such spaces, which are left out."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 def pieces(text: str) -> list[str]:
     """``text`` cut before such spaces; joined, the pieces give the text."""
-    first, *rest = _CUT.split(text)
+    first, *rest = cut(text)
     return [first, *[" " + p for p in rest]] if text else []
 
 
@@ -33,20 +46,45 @@ def chunks(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield held
 
 
+def worker_memory(key: str) -> dict[str, dict[str, bytes]]:
+    """Dictionaries that outlive a task in its Python worker; functions sent by value have no globals that do."""
+    module = sys.modules.setdefault("tunequorum_worker_memory", ModuleType("tunequorum_worker_memory"))
+    return vars(module).setdefault(key, {"first": {}, "later": {}, "stems": {}})
+
+
 class PieceEncoder:
-    """Encodes texts through ``encode_new``, which gets distinct pieces and returns each one's packed ids."""
+    """Encodes texts through ``encode_new``, which gets distinct strings and returns each one's packed ids.
+
+    ``memory`` holds what is known of the first pieces of texts, of those behind a space, and of both without marks.
+    """
 
-    def __init__(self, encode_new: Callable[[list[str]], list[bytes]]):
-        self.encode_new = encode_new
-        self.known: dict[str, bytes] = {}
+    def __init__(self, encode_new: Callable[[list[str]], list[bytes]], memory: dict[str, dict[str, bytes]]):
+        self.encode_new, self.memory = encode_new, memory
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        first, later = self.memory["first"], self.memory["later"]
         for chunk in chunks(texts):
-            cut = [pieces(t) for t in chunk]
-            if len(self.known) > MEMORY:
-                self.known = {}
-            new = list(set().union(*cut) - self.known.keys())
-            self.known.update(zip(new, self.encode_new(new)))
-            for found in cut:
-                yield b"".join(map(self.known.__getitem__, found))
+            for known in self.memory.values():
+                if len(known) > MEMORY:
+                    known.clear()
+            parts = [cut(text) for text in chunk]
+            found = [list(map(later.get, rest)) for _, *rest in parts]
+            self._learn(first, list({p[0] for p in parts if p[0] not in first}), "")
+            lacking = [k for k, ids in enumerate(found) if None in ids]
+            self._learn(later, list({p for k in lacking for p, ids in zip(parts[k][1:], found[k]) if ids is None}), " ")
+            for k in lacking:
+                found[k] = map(later.__getitem__, parts[k][1:])
+            for part, ids in zip(parts, found):
+                yield first[part[0]] + b"".join(ids)
+
+    def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
+        stems = self.memory["stems"]
+        split = []
+        for piece in new:
+            stem = piece.rstrip(MARKS)
+            whole = len(stem) == len(piece) or not stem or not stem[-1].isalnum()
+            split.append((before + piece, "") if whole else (before + stem, piece[len(stem) :]))
+        missing = list({part for pair in split for part in pair if part not in stems})
+        stems.update(zip(missing, self.encode_new(missing)))
+        known.update((piece, stems[stem] + stems[marks]) for piece, (stem, marks) in zip(new, split))

@@ -12,6 +12,7 @@ between documents. A segment is one row of a Parquet table: a self-contained bin
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 import zlib
@@ -23,12 +24,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tunequorum.llm.pieces import PieceEncoder
+from tunequorum.llm.pieces import PieceEncoder, worker_memory
 
 SCALE_BITS = 20
 BLOCK_IDS = 1 << 16
-LANES = 64
-SEGMENT_IDS = 1 << 20
+LANES = 128
+SEGMENT_IDS = 1 << 21
 
 _HEADER = "<4sIIQQ"  # magic, symbols, blocks, documents, ids
 _MAGIC = b"RANS"
@@ -209,9 +210,10 @@ def write_tokens(
         tokenizer = Tokenizer.from_str(vocabulary.value)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        memory = worker_memory("library " + hashlib.sha256(vocabulary.value.encode()).hexdigest())
         encoder = PieceEncoder(lambda new: [
             np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ])
+        ], memory)
         end = struct.pack("<I", end_id)
         part, segment = TaskContext.get().partitionId(), 0
         doc_ids, lengths, coded, size = [], [], [], 0
