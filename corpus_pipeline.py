@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunequorum.llm.dedup import drop_exact_duplicates
 from tunequorum.llm.packing import pack
@@ -32,8 +32,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of secrets are replaced in the texts; all documents stay. ``n_chars`` keeps the original length."""
-    return redact_secrets(docs)
+    """Spans of secrets are replaced in the texts, and ``n_chars`` follows; all documents stay."""
+    return redact_secrets(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
