@@ -67,9 +67,11 @@ def candidates(text: str | None) -> list[dict]:
     ]
 
 
-@F.arrow_udf(FOUND_TYPE)
-def _scan(texts: pa.Array) -> pa.Array:
-    return pa.array([candidates(t.as_py()) for t in texts], _FOUND)
+def _scan(text: Column) -> Column:
+    def scan(texts: pa.Array) -> pa.Array:
+        return pa.array([candidates(t.as_py()) for t in texts], _FOUND)
+
+    return F.arrow_udf(scan, FOUND_TYPE)(text)
 
 
 def redact(text: str, spans: list[dict]) -> str:
@@ -82,9 +84,11 @@ def redact(text: str, spans: list[dict]) -> str:
     return "".join([*parts, text[at:]])
 
 
-@F.arrow_udf("string")
-def _redact(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    return pa.array([t.as_py() and redact(t.as_py(), s.as_py()) for t, s in zip(texts, spans)], pa.string())
+def _redact(text: Column, spans: Column) -> Column:
+    def clean(texts: pa.Array, found: pa.Array) -> pa.Array:
+        return pa.array([t.as_py() and redact(t.as_py(), s.as_py()) for t, s in zip(texts, found)], pa.string())
+
+    return F.arrow_udf(clean, "string")(text, spans)
 
 
 def ownership(found: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tunequorum.llm.components import components
 from tunequorum.runtime import durable
@@ -60,10 +60,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("long")
-def _fingerprints(texts: pa.Array) -> pa.Array:
-    values = np.array([fingerprint(t.as_py()) for t in texts], np.uint64)
-    return pa.array(values.view(np.int64))
+def _fingerprints(text: Column) -> Column:
+    def compute(texts: pa.Array) -> pa.Array:
+        values = np.array([fingerprint(t.as_py()) for t in texts], np.uint64)
+        return pa.array(values.view(np.int64))
+
+    return F.arrow_udf(compute, "long")(text)
 
 
 def _forest(values: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
