@@ -55,18 +55,21 @@ def worker_memory(key: str) -> dict[str, dict[str, bytes]]:
 class PieceEncoder:
     """Encodes texts through ``encode_new``, which gets distinct strings and returns each one's packed ids.
 
-    ``memory`` holds what is known of the first pieces of texts, of those behind a space, and of both without marks.
+    ``memory`` holds what is known of the first pieces of texts, of those behind a space, and of both without marks;
+    one of the three with over ``limit`` pieces starts anew.
     """
 
-    def __init__(self, encode_new: Callable[[list[str]], list[bytes]], memory: dict[str, dict[str, bytes]]):
-        self.encode_new, self.memory = encode_new, memory
+    def __init__(
+        self, encode_new: Callable[[list[str]], list[bytes]], memory: dict[str, dict[str, bytes]], limit: int = MEMORY
+    ):
+        self.encode_new, self.memory, self.limit = encode_new, memory, limit
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         first, later = self.memory["first"], self.memory["later"]
         for chunk in chunks(texts):
             for known in self.memory.values():
-                if len(known) > MEMORY:
+                if len(known) > self.limit:
                     known.clear()
             parts = [cut(text) for text in chunk]
             found = [list(map(later.get, rest)) for _, *rest in parts]

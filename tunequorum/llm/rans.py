@@ -31,6 +31,10 @@ BLOCK_IDS = 1 << 16
 LANES = 128
 SEGMENT_IDS = 1 << 21
 
+#: Pieces given to the tokenizer at a time, whose results are large objects, and pieces that a worker remembers.
+CALL_PIECES = 4096
+KNOWN_PIECES = 200_000
+
 _HEADER = "<4sIIQQ"  # magic, symbols, blocks, documents, ids
 _MAGIC = b"RANS"
 _LOW = np.uint64(1 << 31)
@@ -212,8 +216,9 @@ def write_tokens(
         tokenizer.no_padding()
         memory = worker_memory("library " + hashlib.sha256(vocabulary.value.encode()).hexdigest())
         encoder = PieceEncoder(lambda new: [
-            np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ], memory)
+            np.array(e.ids, "<u4").tobytes() for k in range(0, len(new), CALL_PIECES)
+            for e in tokenizer.encode_batch_fast(new[k : k + CALL_PIECES], add_special_tokens=False)
+        ], memory, KNOWN_PIECES)
         end = struct.pack("<I", end_id)
         part, segment = TaskContext.get().partitionId(), 0
         doc_ids, lengths, coded, size = [], [], [], 0
