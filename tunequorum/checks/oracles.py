@@ -44,6 +44,8 @@ VIEWS = {
         cast(p_size * 6000 as bigint) as duration_ms, cast(p_size as double) as tempo, p_retailprice as loudness,
         make_date(1960 + p_size, 1, 1) as release_date
       from part where p_partkey % 9 <> 0""",
+    "released": """select * from tracks union all
+      select -id, id_artist, name, popularity + 1, duration_ms, tempo, loudness, release_date from tracks where id % 7 = 0""",
     "artists": """select cast(n_nationkey as bigint) as id, n_name as name, r_name as genre
       from nation join region on n_regionkey = r_regionkey""",
     "user_genres": """select distinct c_custkey as user_id, r_name as genre
@@ -188,6 +190,14 @@ def zscores(cast: str = "double") -> str:
     )
 
 
+CANDIDATES = f"""select trial, round(pow(10, -5.0 + lr * 4.3), 6) as learning_rate,
+        round(pow(10, -6.0 + ia * 5.0), 6) as item_alpha, round(pow(10, -6.0 + ua * 5.0), 6) as user_alpha,
+        5 + cast(floor(nc * 75) as bigint) as no_components, 10::BIGINT as epochs from (
+        select s_suppkey as trial, {hash15(1, "'learning_rate'", 's_suppkey')} % 1000000000 / 1e9 as lr,
+          {hash15(1, "'item_alpha'", 's_suppkey')} % 1000000000 / 1e9 as ia,
+          {hash15(1, "'user_alpha'", 's_suppkey')} % 1000000000 / 1e9 as ua,
+          {hash15(1, "'no_components'", 's_suppkey')} % 1000000000 / 1e9 as nc from supplier) a"""
+
 BODIES = {
     "sessions_scan": "select session_id, timestamp, user_id, event_type, track_id from sessions",
     "track_features": "select * from features",
@@ -264,7 +274,8 @@ BODIES = {
                       where user_id in (select user_id from session_ids) group by request_id) g
                   on g.request_id = m.request_id
                 where r.rank < 100 * g.members) a
-          group by request_id, track_id, members having count(*) = members) b) c where position <= 20""",
+          group by request_id, track_id, members having count(*) = members) b) c
+      join requests q using (request_id) where position <= playlist_length""",
     "group_common_tracks": """select m.request_id, r.track_id from request_members m join ranks r on r.user_id = m.user_id
       join (select request_id, count(*) as members from request_members
             where user_id in (select user_id from session_ids) group by request_id) g on g.request_id = m.request_id
@@ -312,13 +323,9 @@ BODIES = {
     "eval_reciprocal_rank": METRIC.format(name="reciprocal_rank", value="max(1.0 / (r + 1))"),
     "eval_precision_at_100": METRIC.format(name="precision", value="sum(case when r < 100 then 1 else 0 end) / 100.0"),
     "eval_recall_at_100": METRIC.format(name="recall", value="sum(case when r < 100 then 1 else 0 end) / cast(max(p) as double)"),
-    "tuning_candidates": f"""select trial, round(pow(10, -5.0 + lr * 4.3), 6) as learning_rate,
-        round(pow(10, -6.0 + ia * 5.0), 6) as item_alpha, round(pow(10, -6.0 + ua * 5.0), 6) as user_alpha,
-        5 + cast(floor(nc * 75) as bigint) as no_components, 10::BIGINT as epochs from (
-        select s_suppkey as trial, {hash15(1, "'learning_rate'", 's_suppkey')} % 1000000000 / 1e9 as lr,
-          {hash15(1, "'item_alpha'", 's_suppkey')} % 1000000000 / 1e9 as ia,
-          {hash15(1, "'user_alpha'", 's_suppkey')} % 1000000000 / 1e9 as ua,
-          {hash15(1, "'no_components'", 's_suppkey')} % 1000000000 / 1e9 as nc from supplier) a""",
+    "tuning_candidates": CANDIDATES,
+    "tuning_log": f"""select *, true as metrics_in_range, true as percent_agrees, true as timed
+      from ({CANDIDATES}) c order by trial limit 2""",
     "tuning_top20": """select name, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std from (
         select * from (select learning_rate::DOUBLE as learning_rate, item_alpha::DOUBLE as item_alpha,
             no_components::DOUBLE as no_components, auc_test::DOUBLE as auc_test,
@@ -364,8 +371,21 @@ BODIES = {
       union all select 'sessions', 'repeated_timestamp', cast(coalesce(sum(n), 0) as bigint) from (
         select count(*) as n from sessions group by session_id, timestamp having count(*) > 1) r
       union all select 'users', 'missing_genres', 0::BIGINT from customer having count(*) >= 0""",
-    "rereleases": """select name, id_artist, tempo, count(*) as n_releases, min(id) as first_id,
-        max(popularity) as popularity from tracks group by name, id_artist, tempo having count(*) > 1""",
+    "rereleases": """select id_artist, name, duration_ms, tempo, loudness, release_date, count(*) as n_releases,
+        min(id) as first_id, max(popularity) as popularity from released group by all having count(*) > 1""",
+    "collapse_rereleases": """select id_artist, name, duration_ms, tempo, loudness, release_date, min(id) as id,
+        max(popularity) as popularity from released group by all""",
+    "als_train": "select distinct track_id, 16::BIGINT as n_factors from split where is_train",
+    "model_save_load": "select distinct user_id, true as same from split where is_train",
+    "eval_report": """select (select count(distinct user_id) from split where is_train) as n_users_train,
+        (select count(distinct user_id) from split where not is_train
+           and user_id in (select user_id from split where is_train)
+           and track_id in (select track_id from split where is_train)) as n_users_test,
+        true as auc_train_in_range, true as precision_train_in_range, true as recall_train_in_range,
+        true as reciprocal_rank_train_in_range, true as auc_test_in_range, true as precision_test_in_range,
+        true as recall_test_in_range, true as reciprocal_rank_test_in_range, true as better_than_chance""",
+    "cold_item_factors": """select id as track_id, 16::BIGINT as n_factors from features
+      where id not in (select track_id from split where is_train)""",
     "playlist_uptake": """select request_id, model, round(best_share, 6) as best_share, best_share >= 0.35 as met
       from uptake""",
     "ab_outcome": """select model, count(*) as n_runs, count(*) filter (best_share >= 0.35) as n_met,

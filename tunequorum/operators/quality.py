@@ -35,15 +35,19 @@ def dq_report(artists: DataFrame, tracks: DataFrame, sessions: DataFrame, users:
     )
 
 
-def rereleases(tracks: DataFrame, same: list[str]) -> DataFrame:
-    """Groups of tracks that agree in ``same`` (all columns but id and popularity) and occur more than once."""
+def _same(tracks: DataFrame, same: list[str] | None) -> list[str]:
+    return [c for c in tracks.columns if c not in ("id", "popularity")] if same is None else same
+
+
+def rereleases(tracks: DataFrame, same: list[str] | None = None) -> DataFrame:
+    """Groups of tracks that agree in ``same`` (by default all columns but id and popularity) and occur more than once."""
     return (
-        tracks.groupBy(*same)
+        tracks.groupBy(*_same(tracks, same))
         .agg(F.count(F.lit(1)).alias("n_releases"), F.min("id").alias("first_id"), F.max("popularity").alias("popularity"))
         .where(F.col("n_releases") > 1)
     )
 
 
-def collapse_rereleases(tracks: DataFrame, same: list[str]) -> DataFrame:
+def collapse_rereleases(tracks: DataFrame, same: list[str] | None = None) -> DataFrame:
     """One row per recording: the smallest id and the greatest popularity."""
-    return tracks.groupBy(*same).agg(F.min("id").alias("id"), F.max("popularity").alias("popularity"))
+    return tracks.groupBy(*_same(tracks, same)).agg(F.min("id").alias("id"), F.max("popularity").alias("popularity"))

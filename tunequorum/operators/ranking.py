@@ -47,7 +47,10 @@ def user_topk(users: DataFrame, items: DataFrame, k: int, exclude: DataFrame | N
         scores = score_block_tops(users, items, k)
     else:
         scores = score_pairs(users, items).join(exclude.select("user_id", "track_id"), ["user_id", "track_id"], "left_anti")
-    return rank_scores(scores).where(F.col("rank") < k)
+    order = Window.partitionBy("user_id").orderBy(F.desc("score"), "track_id")
+    # a literal bound on the row number itself lets every task keep only its own best rows before the shuffle
+    best = scores.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
+    return best.withColumn("rank", (F.col("position") - 1).cast("bigint")).drop("position")
 
 
 def list_overlap(pairs: DataFrame, lists: DataFrame, n: int) -> DataFrame:
@@ -249,7 +252,10 @@ def group_playlists(
     With ``k_per_user`` each list is cut at that rank and only tracks in all the lists of a group count.
     With ``weight``, a positive column of ``members``, the mean is weighted by it.
     """
-    wanted = groups.where(F.col(length) > 0).select(key, F.col(length).cast("bigint").alias("n_wanted"))
+    n_items = items.count()
+    # a list cannot be longer than the catalogue, whatever a request asks for
+    n_wanted = F.least(F.col(length).cast("bigint"), F.lit(n_items))
+    wanted = groups.where((F.col(length) > 0) & F.lit(n_items > 0)).select(key, n_wanted.alias("n_wanted"))
     share = F.col(weight).cast("double") if weight else F.lit(1).cast("bigint")
     warm = (
         members.select(key, "user_id", share.alias("share")).distinct()
@@ -265,15 +271,16 @@ def group_playlists(
     asked_places = asked.select(key, "members", places).join(
         sets.select("members", "lead"), "members"
     ).select(key, "lead", "position")
-    best = _set_playlists(sets.withColumnRenamed("lead", key), users, items, key, k_per_user)
+    best = _set_playlists(sets.withColumnRenamed("lead", key), users, items, n_items, key, k_per_user)
     return asked_places.join(best.withColumnRenamed(key, "lead"), ["lead", "position"]).select(
         key, "position", "track_id", "mean_rank"
     )
 
 
-def _set_playlists(sets: DataFrame, users: DataFrame, items: DataFrame, key: str, k_per_user: int | None) -> DataFrame:
+def _set_playlists(
+    sets: DataFrame, users: DataFrame, items: DataFrame, n_items: int, key: str, k_per_user: int | None
+) -> DataFrame:
     """Playlists of distinct member sets (key, members ARRAY<STRUCT<user_id, share>>, n_wanted)."""
-    n_items = items.count()
     sized = sets.select(
         key, "n_wanted", F.size("members").cast("bigint").alias("n_members"),
         F.aggregate("members", F.lit(0.0), lambda total, m: total + m["share"]).alias("shares"), "members",
@@ -299,14 +306,16 @@ def _set_playlists(sets: DataFrame, users: DataFrame, items: DataFrame, key: str
         ranks = rank_scores(score_pairs(listed_users, items), banded=n_items > LARGE_CATALOGUE)
         return _add_rank_arrays(planned, ranks, items, key, longest, n_items).select(*result)
 
+    if k_per_user:
+        # only each user's best k leave the scoring tasks
+        lists = durable(user_topk(listed_users, items, k_per_user).select("user_id", "track_id", "rank"))
+        return _best_rank_sums(planned, lists, key, longest, True).select(*result)
+
     lists = stored_lists(listed_users, items, n_items)
 
     def prefixes(deepest: int) -> DataFrame:
         return lists.where((F.col("level") <= _level(F.lit(deepest))) & (F.col("rank") < deepest))
 
-    if k_per_user:
-        return _best_rank_sums(planned, prefixes(limit.depth or 0), key, longest, True).select(*result)
-
     whole = Window.partitionBy(key)
     decided = F.min(F.col("n_lists") == F.col("n_members")).over(whole) & (
         F.count(F.lit(1)).over(whole) == F.least(F.col("n_wanted"), F.lit(n_items))
@@ -329,21 +338,23 @@ def _set_playlists(sets: DataFrame, users: DataFrame, items: DataFrame, key: str
 
 
 def group_playlists_by_product(
-    members: DataFrame, users: DataFrame, items: DataFrame, n: int, k_per_member: int, key: str = "request_id",
+    groups: DataFrame, members: DataFrame, users: DataFrame, items: DataFrame, k_per_member: int,
+    key: str = "request_id", length: str = "playlist_length",
 ) -> DataFrame:
-    """Playlists ordered by the product of the members' scores, each scaled to [0, 1] per user.
+    """Playlists of the length asked for, ordered by the product of the members' scores, each scaled to [0, 1] per user.
 
     The lists are cut at ``k_per_member`` x group size, and only tracks in the lists of all members
     count. A zero in any list makes the product zero.
     """
-    warm = members.select(key, "user_id").distinct().join(users.select("user_id"), "user_id", "left_semi")
+    wanted = groups.where(F.col(length) > 0).select(key, F.col(length).cast("bigint").alias("n_wanted"))
+    warm = members.select(key, "user_id").distinct().join(wanted.select(key), key, "left_semi").join(users.select("user_id"), "user_id", "left_semi")
     sizes = warm.groupBy(key).agg(F.count(F.lit(1)).alias("n_members"))
     sized = durable(warm.join(sizes, key).withColumn("depth", F.col("n_members") * k_per_member))
     largest = sized.agg(F.max("depth")).first()[0] or 1
-    wanted = users.join(sized.select("user_id"), "user_id", "left_semi")
-    lists = user_topk(wanted, items, largest)
+    listed_users = users.join(sized.select("user_id"), "user_id", "left_semi")
+    lists = user_topk(listed_users, items, largest)
     # the least score of a user over all items scales the list; only the two ends leave the scoring tasks
-    ends = score_ends(wanted, items).groupBy("user_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ends = score_ends(listed_users, items).groupBy("user_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     scaled = lists.join(ends, "user_id").select(
         "user_id", "track_id", "rank",
         ((F.col("score") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))).alias("scaled"),
@@ -358,6 +369,6 @@ def group_playlists_by_product(
     )
     order = Window.partitionBy(key).orderBy(F.desc("product"), "track_id")
     return (
-        products.withColumn("position", F.row_number().over(order).cast("bigint"))
-        .where(F.col("position") <= n).select(key, "position", "track_id", "product")
+        products.withColumn("position", F.row_number().over(order).cast("bigint")).join(wanted, key)
+        .where(F.col("position") <= F.col("n_wanted")).select(key, "position", "track_id", "product")
     )

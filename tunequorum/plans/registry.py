@@ -277,7 +277,8 @@ def group_playlist_weighted(spark, sf):
 @query
 def group_playlist_product(spark, sf):
     users, items = _vectors(spark, sf)
-    return rk.group_playlists_by_product(_members(spark, sf), users, items, 20, k_per_member=100)
+    valid = rq.validate_requests(ad.requests(spark, sf)).where(F.col("reason").isNull())
+    return rk.group_playlists_by_product(valid, _members(spark, sf), users, items, k_per_member=100)
 
 
 @query
@@ -379,7 +380,7 @@ def als_train(spark, sf):
 
 @query
 def model_save_load(spark, sf):
-    """Best track of every user before and after a round trip; ``same`` says whether they agree."""
+    """Whether the best track of every user and its score are the same before and after a round trip."""
     model, _ = _train(spark, sf)
     path = scratch_path(spark, "model")
     model.save(path)
@@ -388,14 +389,21 @@ def model_save_load(spark, sf):
     after = rk.user_topk(durable(loaded.users()), durable(loaded.items()), 1)
     renamed = after.select("user_id", F.col("track_id").alias("other_id"), F.col("score").alias("other"))
     return before.join(renamed, "user_id").select(
-        "user_id", "track_id", ((F.col("track_id") == F.col("other_id")) & (F.col("score") == F.col("other"))).alias("same")
+        "user_id", ((F.col("track_id") == F.col("other_id")) & (F.col("score") == F.col("other"))).alias("same")
     )
 
 
 @query
 def eval_report(spark, sf):
+    """Users evaluated on each part of the split, and whether every metric lies in its range.
+
+    A test like counts if both its user and its track have factors, that is, occur in the train part.
+    """
     model, split = _train(spark, sf)
-    return tn.evaluate(model, split)
+    row = tn.evaluate(model, split)
+    metrics = [c for c in row.columns if not c.startswith("n_users")]
+    in_range = [F.col(c).between(0.0, 1.0).alias(f"{c}_in_range") for c in metrics]
+    return row.select("n_users_train", "n_users_test", *in_range, (F.col("auc_train") > 0.5).alias("better_than_chance"))
 
 
 @query
@@ -404,7 +412,8 @@ def cold_item_factors(spark, sf):
     scaled = feature_zscore(spark, sf).select(
         F.col("id").alias("track_id"), F.array(*[F.coalesce(c, F.lit(0.0)) for c in ad.TRACK_FEATURES]).alias("x")
     )
-    return fb.cold_item_factors(scaled, model.items(), ridge=1e-3)
+    cold = fb.cold_item_factors(scaled, model.items(), ridge=1e-3)
+    return cold.select("track_id", F.size("vec").cast("bigint").alias("n_factors"))
 
 
 @query
@@ -418,13 +427,22 @@ def tuning_candidates(spark, sf):
 
 @query
 def tuning_log(spark, sf):
-    """Two trials over the whole tables, read back from the log."""
+    """The two first trials of the trial table over the whole data, read back from the log: parameters as drawn,
+    metrics as checks of their ranges."""
     path = scratch_path(spark, "trials")
     split = it.split_interactions(_likes(spark, sf))
     groups = ad.group_ids(spark, sf)
-    trials = spark.range(2).withColumnRenamed("id", "trial")
+    trials = ad.trials(spark, sf).select("trial").orderBy("trial").limit(2)
     tn.run_trials(spark, tn.tuning_candidates(trials, seed=1), split, _history(spark, sf), groups, path)
-    return sinks.read_trials(spark, path, tn.TRIAL_LOG)
+    log = sinks.read_trials(spark, path, tn.TRIAL_LOG)
+    shares = [f"{m}_{part}" for m in ("auc", "precision", "recall", "reciprocal_rank") for part in ("train", "test")]
+    in_range = F.array_min(F.array(*[F.col(c).between(0.0, 1.0) for c in shares]))
+    gain = (F.col("clustering_base") - F.col("clustering_fm")) * 100 / F.col("clustering_base")
+    return log.select(
+        "trial", *[_six(c) for c in ("learning_rate", "item_alpha", "user_alpha")], "no_components", "epochs",
+        in_range.alias("metrics_in_range"), (F.abs(F.col("percent_better") - gain) < 1e-6).alias("percent_agrees"),
+        (F.col("time_elapsed") > 0).alias("timed"),
+    )
 
 
 @query
@@ -497,4 +515,9 @@ def dq_report(spark, sf):
 
 @query
 def rereleases(spark, sf):
-    return ql.rereleases(ad.tracks(spark, sf), ["name", "id_artist", "tempo"])
+    return ql.rereleases(ad.tracks_with_rereleases(spark, sf))
+
+
+@query
+def collapse_rereleases(spark, sf):
+    return ql.collapse_rereleases(ad.tracks_with_rereleases(spark, sf))

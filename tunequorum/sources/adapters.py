@@ -48,6 +48,13 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tracks_with_rereleases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tracks, and for every seventh one a second release that differs only in id and popularity."""
+    first = tracks(spark, sf_dir)
+    again = first.where(F.col("id") % 7 == 0).withColumn("id", -F.col("id")).withColumn("popularity", F.col("popularity") + 1)
+    return first.unionByName(again)
+
+
 #: Numeric features that the adapted tracks carry.
 TRACK_FEATURES = ("popularity", "duration_ms", "tempo", "loudness", "release_year")
 
