@@ -242,6 +242,43 @@ def test_matching_statistics_and_phrases():
     assert found["labels"] == "mit" and found["spans"][0]["start"] == 1 and 0.9 < found["score"] < 1
 
 
+def test_short_notices_inside_runs_of_longer_templates():
+    scanner = licenses.LicenceScanner()
+    for text, start in (("Licensed under the Apache License, Version 2.0.", 3), ("under the Apache License, Version 2.0", 2)):
+        found = scanner.scan(text)
+        assert found["labels"] == "apache-2.0" and found["score"] == 1
+        assert found["spans"] == [{"start": start, "end": start + 5, "label": "apache-2.0", "cover": 1.0}]
+    whole = scanner.scan("x " + licenses.TEMPLATES[3][1])
+    assert [(s["start"], s["end"]) for s in whole["spans"]] == [(1, 73), (4, 9)]
+    # a template of which words are missing yields to the one that has them
+    assert scanner.scan("GNU General Public License version 2")["labels"] == "gpl,gpl-2.0"
+    assert scanner.scan("GNU General Public License version 3 only")["labels"] == "gpl,gpl-3.0"
+    assert scanner.scan("GNU Lesser General Public License, version 2.1")["labels"] == "gpl,lgpl"
+
+
+def test_every_template_is_matched_as_in_a_naive_search():
+    scanner, draw = licenses.LicenceScanner(), random.Random(4)
+    sequences = [licenses.words_of(t) for _, t in licenses.TEMPLATES]
+    for _ in range(20):
+        words = []
+        for _ in range(8):
+            s = draw.choice(sequences)
+            k = draw.randrange(len(s))
+            words += s[k : k + draw.randint(1, 12)] + [b"zzz"] * (draw.random() < 0.2)
+        expected = {}
+        for t, s in enumerate(sequences):
+            for i, k in itertools.product(range(len(words)), range(len(s))):
+                if words[i] == s[k] and not (i and k and words[i - 1] == s[k - 1]):
+                    n = next((n for n in range(len(s)) if words[i + n : i + n + 1] != s[k + n : k + n + 1]), len(s))
+                    n = min(n, len(s) - k, len(words) - i)
+                    if n >= scanner.least[t]:
+                        expected.setdefault(t, []).append((i, k, n))
+        got = {}
+        scanner._chains = lambda t, found: got.setdefault(t, sorted(found)) and []
+        scanner.scan(b" ".join(words).decode())
+        assert got == {t: sorted(found) for t, found in expected.items()}
+
+
 def test_extraction_of_other_layouts():
     model = extraction.train([])
     page = """<body><header><h1>Site</h1></header><div id=menu><ul><li><a href=x>A</a><li><a href=y>B</a></ul></div><div class="article-body">

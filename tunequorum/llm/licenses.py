@@ -1,9 +1,9 @@
 """Licence scans with a generalised suffix automaton.
 
 The automaton holds every run of words of all templates. A text streams through it: at each word the state gives the
-longest run ending there that some template has (matching statistics). Runs that cannot be made longer are
-matches; matches of one template that lie in the same order in text and template are chained, and a chain that covers enough of
-the template labels that span of the text.
+longest run ending there that some template has (matching statistics), and its suffix links the longest run of every
+other template. Runs that cannot be made longer in their template are matches; matches of one template that lie in the
+same order in text and template are chained, and a chain that covers enough of the template labels that span of the text.
 """
 
 from __future__ import annotations
@@ -135,25 +135,27 @@ class LicenceScanner:
         self.phrases_at: list[list[tuple[int, int]]] = [[] for _ in a.next]
         for state in sorted(range(1, len(a.next)), key=lambda s: a.length[s]):
             self.phrases_at[state] = self.phrases_at[a.link[state]] + ([own[state]] if state in own else [])
-        self.template_ends = [[(t, end) for t, end in found if t < n] for found in a.ends]
-        self.short_ends = [[(t, end) for t, end in found if self.sizes[t] < MIN_MATCH] for found in self.template_ends]
+        self.least = [min(MIN_MATCH, size) for size in self.sizes]
+        # (template, words up to the end of the run, longest run that ends there, word after it) by state
+        following = [words_of(t)[1:] + [b""] for _, t in templates]
+        self.hits: list[list[tuple[int, int, int, bytes]]] = [[] for _ in a.next]
+        for state in sorted(range(1, len(a.next)), key=lambda s: a.length[s]):
+            own_ends = {(t, end) for t, end in a.ends[state] if t < n}
+            self.hits[state] = [(t, end, a.length[state], following[t][end - 1]) for t, end in sorted(own_ends) if a.length[state] >= self.least[t]]
+            self.hits[state] += [hit for hit in self.hits[a.link[state]] if hit[:2] not in own_ends]
 
     def scan(self, text: str | None) -> dict:
         words = words_of(text)
         a, known = self.automaton, self.known
-        arcs, link, length, phrases_at = a.next, a.link, a.length, self.phrases_at
+        arcs, link, length, phrases_at, hits = a.next, a.link, a.length, self.phrases_at, self.hits
         places: list[tuple[int, int]] = []
         matches: dict[int, list[tuple[int, int, int]]] = {}
         state = run = 0
         for i, word in enumerate(words):
             if word not in known:
-                if run > 1:
-                    self._collect(matches, i, state, run)
                 state = run = 0
                 continue
             if word not in arcs[state]:
-                if run > 1:
-                    self._collect(matches, i, state, run)
                 while state and word not in arcs[state]:
                     state = link[state]
                 run = length[state]
@@ -162,27 +164,31 @@ class LicenceScanner:
             for size, k in phrases_at[state]:
                 if size <= run:
                     places.append((i + 1 - size, k))
-        if run > 1:
-            self._collect(matches, len(words), state, run)
-        spans = sorted(span for t, found in matches.items() for span in self._chains(t, found))
-        best = max((cover for *_, cover in spans), default=0.0)
+            if hits[state]:
+                self._collect(matches, words, i + 1, state, run)
+        chains = sorted(chain for t, found in matches.items() for chain in self._chains(t, found))
+        best = max((covered / self.sizes[t] for _, _, t, covered in chains), default=0.0)
+        spans = self._spans(chains)
         base = sorted({self.phrase_labels[k] for _, k in places})
         starts = [start for start, _ in places]
         return {
             "n_words": len(words), "n_base": len(places), "first_word": min(starts, default=None),
             "last_word": max(starts, default=None), "base_labels": ",".join(base),
-            "labels": ",".join(sorted({*base, *(label for _, _, label, cover in spans if cover >= MIN_COVER)})),
+            "labels": ",".join(sorted({*base, *(label for _, _, label, _ in spans)})),
             "score": 1.0 if places else round(best, 6),
-            "spans": [{"start": s, "end": e, "label": label, "cover": cover} for s, e, label, cover in spans if cover >= MIN_COVER],
+            "spans": [{"start": s, "end": e, "label": label, "cover": cover} for s, e, label, cover in spans],
         }
 
-    def _collect(self, matches: dict, end: int, state: int, run: int) -> None:
-        """Note the match of ``run`` words before ``end`` with every template that has it."""
-        for t, template_end in (self.template_ends if run >= MIN_MATCH else self.short_ends)[state]:
-            matches.setdefault(t, []).append((end - run, template_end - run, run))
+    def _collect(self, matches: dict, words: list[bytes], end: int, state: int, run: int) -> None:
+        """Note the longest run before ``end`` of every template in which the text's next word does not carry it on."""
+        after = words[end] if end < len(words) else None
+        for t, template_end, longest, following in self.hits[state]:
+            n = min(run, longest)
+            if n >= self.least[t] and following != after:
+                matches.setdefault(t, []).append((end - n, template_end - n, n))
 
-    def _chains(self, t: int, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float]]:
-        """(start, end, label, share of the template covered) of chains that do not overlap, the best ones first."""
+    def _chains(self, t: int, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """(start, end, template, words of it covered) of chains that do not overlap, the best ones first."""
         matches = sorted(matches)
         covered, came, begins = [0] * len(matches), [-1] * len(matches), [0] * len(matches)
         first = 0
@@ -203,9 +209,22 @@ class LicenceScanner:
             if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
                 continue
             taken.insert(at, (start, end))
-            chains.append((start, end, self.labels[t], covered[j] / self.sizes[t]))
+            chains.append((start, end, t, covered[j]))
         return chains
 
+    def _spans(self, chains: list[tuple[int, int, int, int]]) -> list[tuple[int, int, str, float]]:
+        """(start, end, label, share covered) of chains that cover enough. One that lacks words of its template yields
+        to a chain of another label over the same text that covers more words, or as many and more of its template."""
+        good = [(s, e, t, n) for s, e, t, n in chains if n >= MIN_COVER * self.sizes[t]]
+
+        def yields(s: int, e: int, t: int, n: int) -> bool:
+            return n < self.sizes[t] and any(
+                s < f and b < e and self.labels[t] != self.labels[u] and (m, m / self.sizes[u]) > (n, n / self.sizes[t])
+                for b, f, u, m in good
+            )
+
+        return [(s, e, self.labels[t], n / self.sizes[t]) for s, e, t, n in good if not yields(s, e, t, n)]
+
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("cover", pa.float64())])
 _RESULT = pa.struct([
