@@ -256,6 +256,24 @@ def test_short_notices_inside_runs_of_longer_templates():
     assert scanner.scan("GNU Lesser General Public License, version 2.1")["labels"] == "gpl,lgpl"
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("the Apache License 2.0", "apache-2.0"), ("Apache License, in its version 2.0", "apache-2.0"), ("Apache License v2.0", "apache-2.0"),
+    ("Apache License, Version 1.1", ""), ("CC BY-NC 3.0", "cc-by,cc-by-nc"), ("CC BY-SA 4.0", "cc-by,cc-by-sa"), ("CC BY-ND 4.0", "cc-by,cc-by-nd"),
+    ("CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"), ("CC BY 4.0", "cc-by,cc-by-4.0"), ("CC BY 3.0", "cc-by"),
+    ("Creative Commons Attribution-NonCommercial 3.0 Unported License", "cc-by-nc"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+    ("Creative Commons Attribution 4.0 International", "cc-by-4.0"), ("CC0 1.0", "cc0"),
+    ("the BSD license", "bsd"), ("BSD 3-Clause License", "bsd"), ("ISC License", "isc"), ("Mozilla Public License 2.0", "mpl-2.0"),
+    ("Mozilla Public License, v. 2.0", "mpl-2.0"), ("Mozilla Public License 1.1", ""), ("GNU General Public License v3", "gpl,gpl-3.0"),
+    ("version 2 of the GNU General Public License", "gpl,gpl-2.0"), ("GNU General Public License version 4", "gpl"),
+    ("GNU Lesser General Public License v3", "gpl,lgpl"), ("the license, in version 2.0 of our software", ""),
+    ("Apache server; its license is the second one, version 2.0", ""),
+])
+def test_reworded_short_notices(text, labels):
+    assert licenses.LicenceScanner().scan(f"Use: {text}, as said.")["labels"] == ",".join(sorted(filter(None, labels.split(","))))
+
+
 def test_every_template_is_matched_as_in_a_naive_search():
     scanner, draw = licenses.LicenceScanner(), random.Random(4)
     sequences = [licenses.words_of(t) for _, t in licenses.TEMPLATES]
@@ -274,7 +292,7 @@ def test_every_template_is_matched_as_in_a_naive_search():
                     if n >= scanner.least[t]:
                         expected.setdefault(t, []).append((i, k, n))
         got = {}
-        scanner._chains = lambda t, found: got.setdefault(t, sorted(found)) and []
+        scanner._chains = lambda t, found, _: got.setdefault(t, sorted(found)) and []
         scanner.scan(b" ".join(words).decode())
         assert got == {t: sorted(found) for t, found in expected.items()}
 

@@ -4,6 +4,7 @@ The automaton holds every run of words of all templates. A text streams through
 longest run ending there that some template has (matching statistics), and its suffix links the longest run of every
 other template. Runs that cannot be made longer in their template are matches; matches of one template that lie in the
 same order in text and template are chained, and a chain that covers enough of the template labels that span of the text.
+Short notices are names of licences: they are matched by runs of two words, and only fillers may be missing or added.
 """
 
 from __future__ import annotations
@@ -52,13 +53,31 @@ TEMPLATES = [
     ("cc-by-4.0", "Creative Commons Attribution 4.0 International License"),
     ("cc0", "CC0 1.0 Universal"),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    # other names
+    ("apache-2.0", "Apache License, Version 2"), ("apache-2.0", "Apache License v2"), ("apache-2.0", "Apache 2.0 License"),
+    ("bsd", "BSD License"), ("bsd", "BSD 2-Clause"), ("bsd", "BSD 3-Clause"), ("bsd", "2-Clause BSD"), ("bsd", "3-Clause BSD"),
+    ("isc", "ISC License"),
+    ("mpl-2.0", "Mozilla Public License, Version 2.0"), ("mpl-2.0", "Mozilla Public License v2"), ("mpl-2.0", "MPL 2.0"), ("mpl-2.0", "MPL v2"),
+    ("gpl-3.0", "GNU General Public License v3"), ("gpl-3.0", "GNU General Public License 3"), ("gpl-3.0", "Version 3 of the GNU General Public License"),
+    ("gpl-2.0", "GNU General Public License v2"), ("gpl-2.0", "GNU General Public License 2"), ("gpl-2.0", "Version 2 of the GNU General Public License"),
+    ("lgpl", "GNU LGPL"),
+    ("cc-by-nc", "CC BY-NC"), ("cc-by-nc", "Creative Commons Attribution-NonCommercial"),
+    ("cc-by-sa", "CC BY-SA"), ("cc-by-sa", "Creative Commons Attribution-ShareAlike"),
+    ("cc-by-nc-sa", "CC BY-NC-SA"), ("cc-by-nc-sa", "Creative Commons Attribution-NonCommercial-ShareAlike"),
+    ("cc-by-nd", "CC BY-ND"), ("cc-by-nd", "Creative Commons Attribution-NoDerivatives"), ("cc-by-nd", "Creative Commons Attribution-NoDerivs"),
+    ("cc-by-nc-nd", "CC BY-NC-ND"), ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives"),
+    ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivs"),
+    ("cc-by-4.0", "CC BY 4.0"),
 ]
 
-#: Words of a match that counts for longer templates; words between two matches of a chain; share of a template that
-#: a chain must cover.
+#: Words of a match that counts for longer templates, and for short ones, of fewer than SHORT words; words between two
+#: matches of a chain; share of a template that a chain must cover; words that a short notice may lack or have besides.
 MIN_MATCH = 4
+MIN_SHORT = 2
+SHORT = 9
 MAX_GAP = 24
 MIN_COVER = 0.75
+FILLERS = frozenset(b"a an the in its of or under gnu v ver version license licence licensed software international universal unported generic".split())
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -135,9 +154,10 @@ class LicenceScanner:
         self.phrases_at: list[list[tuple[int, int]]] = [[] for _ in a.next]
         for state in sorted(range(1, len(a.next)), key=lambda s: a.length[s]):
             self.phrases_at[state] = self.phrases_at[a.link[state]] + ([own[state]] if state in own else [])
-        self.least = [min(MIN_MATCH, size) for size in self.sizes]
+        self.least = [min(MIN_SHORT if size < SHORT else MIN_MATCH, size) for size in self.sizes]
+        self.words = [words_of(t) for _, t in templates]
         # (template, words up to the end of the run, longest run that ends there, word after it) by state
-        following = [words_of(t)[1:] + [b""] for _, t in templates]
+        following = [t[1:] + [b""] for t in self.words]
         self.hits: list[list[tuple[int, int, int, bytes]]] = [[] for _ in a.next]
         for state in sorted(range(1, len(a.next)), key=lambda s: a.length[s]):
             own_ends = {(t, end) for t, end in a.ends[state] if t < n}
@@ -166,8 +186,8 @@ class LicenceScanner:
                     places.append((i + 1 - size, k))
             if hits[state]:
                 self._collect(matches, words, i + 1, state, run)
-        chains = sorted(chain for t, found in matches.items() for chain in self._chains(t, found))
-        best = max((covered / self.sizes[t] for _, _, t, covered in chains), default=0.0)
+        chains = sorted(chain for t, found in matches.items() for chain in self._chains(t, found, words))
+        best = max((covered / self.sizes[t] for _, _, t, covered, _ in chains), default=0.0)
         spans = self._spans(chains)
         base = sorted({self.phrase_labels[k] for _, k in places})
         starts = [start for start, _ in places]
@@ -187,9 +207,13 @@ class LicenceScanner:
             if n >= self.least[t] and following != after:
                 matches.setdefault(t, []).append((end - n, template_end - n, n))
 
-    def _chains(self, t: int, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """(start, end, template, words of it covered) of chains that do not overlap, the best ones first."""
+    def _chains(self, t: int, matches: list[tuple[int, int, int]], words: list[bytes]) -> list[tuple[int, int, int, int, bool]]:
+        """(start, end, template, words of it covered, whether nothing that matters is missing) of chains that do not overlap, the best ones first.
+
+        A chain of a short notice counts if only fillers are missing or added, or for the score if it has MIN_MATCH words.
+        """
         matches = sorted(matches)
+        short, template, lacking = self.sizes[t] < SHORT, self.words[t], set()
         covered, came, begins = [0] * len(matches), [-1] * len(matches), [0] * len(matches)
         first = 0
         for j, (x, y, n) in enumerate(matches):
@@ -199,27 +223,41 @@ class LicenceScanner:
             for i in range(first, j):
                 u, v, m = matches[i]
                 overlap = max(u + m - x, v + m - y, 0)
-                if x > u and y > v and x - u - m <= MAX_GAP and overlap < n and covered[i] + n - overlap > covered[j]:
+                if x > u and y > v and x - u - m <= MAX_GAP and overlap < n and covered[i] + n - overlap > covered[j] and not (
+                    short and not FILLERS.issuperset(words[u + m : x + overlap] + template[v + m : y + overlap])
+                ):
                     covered[j], came[j], begins[j] = covered[i] + n - overlap, i, begins[i]
+        if short:
+            for j, (_, y, n) in enumerate(matches):
+                first = j
+                while came[first] >= 0:
+                    first = came[first]
+                if not FILLERS.issuperset(template[: matches[first][1]] + template[y + n :]):
+                    lacking.add(j)
         continued = set(came)
         chains, taken = [], []
         for j in sorted((j for j in range(len(matches)) if j not in continued), key=lambda j: (-covered[j], j)):
+            if j in lacking and covered[j] < MIN_MATCH:
+                continue
             start, end = begins[j], matches[j][0] + matches[j][2]
             at = bisect_left(taken, (start, end))
             if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
                 continue
             taken.insert(at, (start, end))
-            chains.append((start, end, t, covered[j]))
+            chains.append((start, end, t, covered[j], j not in lacking))
         return chains
 
-    def _spans(self, chains: list[tuple[int, int, int, int]]) -> list[tuple[int, int, str, float]]:
+    def _spans(self, chains: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, str, float]]:
         """(start, end, label, share covered) of chains that cover enough. One that lacks words of its template yields
-        to a chain of another label over the same text that covers more words, or as many and more of its template."""
-        good = [(s, e, t, n) for s, e, t, n in chains if n >= MIN_COVER * self.sizes[t]]
+        to a chain of another label over the same text that covers more words, or as many and more of its template; a short
+        notice also yields to a longer one that holds it."""
+        good = [(s, e, t, n) for s, e, t, n, whole in chains if whole and n >= MIN_COVER * self.sizes[t]]
 
         def yields(s: int, e: int, t: int, n: int) -> bool:
-            return n < self.sizes[t] and any(
-                s < f and b < e and self.labels[t] != self.labels[u] and (m, m / self.sizes[u]) > (n, n / self.sizes[t])
+            size, label = self.sizes[t], self.labels[t]
+            return any(
+                (label != self.labels[u] and n < size and s < f and b < e and (m, m / self.sizes[u]) > (n, n / size))
+                or (size < SHORT and self.sizes[u] < SHORT and n < m and b <= s and e <= f)
                 for b, f, u, m in good
             )
 
