@@ -307,6 +307,20 @@ def test_extraction_of_other_layouts():
     assert all(0 <= p <= 1 for p in model.marginals(nodes)) and extraction.main_text(None, model) == ""
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>t</title><meta charset=utf-8><p>One.<p>Two.", "One. Two."),
+    ("<head><title>t</title><link rel=x><style>p {}</style><script>a</script>\n<article><p>One.</article>", "One."),
+    ("<head><title>t</title>\nOne.<p>Two.", "One. Two."), ("<head><title>t</title><br/><p>One.", "One."),
+    ("<head><noscript><img src=x><p>no</p></noscript><title>t</title></head><body><p>One.", "One."),
+    ("<body><article><p>One.</p><svg/><p>Two.</p></article>", "One. Two."), ("<article><math/>One.<p>Two.</article>", "One. Two."),
+    ("<p>One <svg><style/><path d=x /><text>no</text></svg>two.</p><p>Three.", "One two. Three."),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mspace/><mn>1</mn><annotation>x=1</annotation></math> be.</p>", "Let x=1 be."),
+    ("<table><tr><td/>a<td/>b</table>", "a b"),
+])
+def test_pages_with_open_heads_and_foreign_elements(page, text):
+    assert " ".join(t for _, t in extraction.parse(page)[1]) == text
+
+
 def test_marginals_are_exact():
     """Messages against the sum over all labellings of a small tree."""
     import math

@@ -8,12 +8,15 @@ from html.parser import HTMLParser
 
 #: HTML elements by how they are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("head script style noscript template svg math iframe object canvas select textarea button datalist audio video".split())
+SKIPPED = frozenset("head script style noscript template svg annotation annotation-xml iframe object canvas select textarea button datalist audio video".split())
 BLOCKS = frozenset(
     "html body main article section nav aside header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot "
     "tr caption blockquote pre figure figcaption form fieldset legend address details summary hgroup dialog menu search center".split()
 )
-SPACED = frozenset("br td th hr option".split())
+SPACED = frozenset("br td th hr option mtd mtr".split())
+#: Elements in which a tag that closes itself is empty, and tags that do not end an open head.
+FOREIGN = frozenset("svg math".split())
+HEAD_TAGS = frozenset("html head title base basefont bgsound link meta style script noscript template".split())
 #: An opening tag of the first kind ends open elements of the second, looked for up to the third.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -50,6 +53,7 @@ class _Builder(HTMLParser):
         self.pending: list[str] = []
         self.owner = 0
         self.skip = 0
+        self.foreign = 0
         self.links = 0
 
     def _flush(self) -> None:
@@ -68,6 +72,7 @@ class _Builder(HTMLParser):
                 self._flush()
             self.links -= tag == "a"
             self.skip -= tag in SKIPPED
+            self.foreign -= tag in FOREIGN
         self.owner = self.open[-1][1]
 
     def _end(self, names: tuple[str, ...], stop: frozenset[str] | tuple[str, ...]) -> None:
@@ -80,7 +85,15 @@ class _Builder(HTMLParser):
             if tag in stop:
                 return
 
+    def _end_head(self) -> None:
+        """Close a head that nothing else skipped is open in; its end tag and the body's tags may be left out."""
+        if self.skip == 1:
+            self._end(("head",), ())
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self._end_head()
+        self.foreign += tag in FOREIGN
         if tag in SKIPPED:
             self.skip += 1
             self.open.append((tag, self.owner))
@@ -110,9 +123,11 @@ class _Builder(HTMLParser):
         self.open.append((tag, self.owner))
 
     def handle_startendtag(self, tag, attrs):
-        if tag in SPACED:
+        if tag not in HEAD_TAGS:
+            self._end_head()
+        if tag in VOID and tag in SPACED:
             self.pending.append(" ")
-        elif tag not in VOID:
+        if tag not in VOID and tag not in FOREIGN and not self.foreign:
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
@@ -122,6 +137,8 @@ class _Builder(HTMLParser):
             self._end((tag,), () if tag in SCOPES or tag in SKIPPED or tag in BLOCKS - {"p", "li"} else SCOPES)
 
     def handle_data(self, data):
+        if self.skip and self.open[-1][0] == "head" and data.strip():
+            self._end_head()
         if self.skip:
             return
         self.pending.append(data)
