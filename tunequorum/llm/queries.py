@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunequorum.llm import (
-    bpe, dedup, extraction, licenses, packing, preferences, quality, rans, secrets, simhash,
+    bpe, dedup, extraction, licenses, packing, preferences, quality, rans, secrets, simhash, whitening,
 )
 from tunequorum.runtime import scratch_path
 
@@ -83,3 +83,8 @@ def op3_licence_scan(spark, sf):
 @query
 def op8_html_extraction(spark, sf):
     return extraction.extract(_table(spark, sf, "pages"))
+
+
+@query
+def op12_embedding_whitening(spark, sf):
+    return whitening.whiten(_table(spark, sf, "embeddings"))
