@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunequorum.llm import (
-    bpe, dedup, extraction, licenses, packing, preferences, quality, rans, secrets, simhash, whitening,
+    bpe, dedup, extraction, licenses, packing, prefixes, preferences, quality, rans, secrets,
+    simhash, tiles, whitening,
 )
-from tunequorum.runtime import scratch_path
+from tunequorum.runtime import durable, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +89,14 @@ def op8_html_extraction(spark, sf):
 @query
 def op12_embedding_whitening(spark, sf):
     return whitening.whiten(_table(spark, sf, "embeddings"))
+
+
+@query
+def op11_embedding_near_dedup(spark, sf):
+    return tiles.near_vectors(_table(spark, sf, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    turns = durable(prefixes.number_turns(_table(spark, sf, "conversations")))
+    return prefixes.prefix_trie(*prefixes.with_shared_openings(turns))

@@ -67,7 +67,7 @@ def on_grid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return written.where(F.size("x") == (common.d if common else 0))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
@@ -78,7 +78,7 @@ def _sums(x: DataFrame) -> tuple[int, list[int]]:
         n, halves = 0, None
         for b in batches:
             if b.num_rows:
-                m = _matrix(b.column(0))
+                m = matrix(b.column(0))
                 here = np.stack([(m >> 32).sum(axis=0), (m & 0xFFFFFFFF).sum(axis=0)])
                 n, halves = n + len(m), here if halves is None else halves + here
         if n:
@@ -102,14 +102,14 @@ def _deviations(x: np.ndarray, n: int, sums: list[int]) -> tuple[np.ndarray, np.
     return n * y.astype(object) - np.array(rests, object), centred
 
 
-def _second_moments(vectors: DataFrame, width: int, centre) -> np.ndarray:
+def second_moments(vectors: DataFrame, width: int, centre) -> np.ndarray:
     """Sum of the outer products of centre(matrix) over all rows of the one array column."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for b in batches:
             if b.num_rows:
-                m = centre(_matrix(b.column(0)))
+                m = centre(matrix(b.column(0)))
                 total += m.T @ m
         if total.any():
             rows, cols = np.triu_indices(width)
@@ -126,7 +126,7 @@ def fit(x: DataFrame) -> Whitening:
     n, sums = _sums(x)
     if not sums:
         return Whitening(n, [], np.zeros(0), np.zeros((0, 0)))
-    covariance = _second_moments(x.select("x"), len(sums), lambda m: _deviations(m, n, sums)[1]) / n
+    covariance = second_moments(x.select("x"), len(sums), lambda m: _deviations(m, n, sums)[1]) / n
     values, vectors = eigenvectors(covariance)
     return Whitening(n, sums, np.maximum(values, 0), vectors)
 
@@ -139,7 +139,7 @@ def project(x: DataFrame, model: Whitening) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            exact, centred = _deviations(_matrix(b.column("x")), n, sums)
+            exact, centred = _deviations(matrix(b.column("x")), n, sums)
             squares = (exact * exact).sum(axis=1).tolist()
             flat = (centred @ projection).ravel()
             offsets = np.arange(b.num_rows + 1, dtype=np.int32) * projection.shape[1]
@@ -158,7 +158,7 @@ def identity_error(whitened: DataFrame, model: Whitening) -> float:
     k = model.components()
     if not len(vary):
         return 0.0
-    moments = _second_moments(
+    moments = second_moments(
         whitened.select(F.concat(F.array(F.lit(1.0)), F.transform("whitened", lambda w: F.coalesce(w, F.lit(0.0)))).alias("w")), k + 1, lambda m: m
     ) / model.n
     mean = moments[0, 1:]
