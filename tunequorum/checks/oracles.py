@@ -20,17 +20,23 @@ def hash15(*parts) -> str:
 
 
 def drawn(source: str, keys: str, size: str, want: str, seed: int) -> str:
-    """Rows (keys, slot, position): hash-drawn distinct positions, slots from 1."""
-    cand = f"""select {keys}, n, w, j,
-        case when n <= 4 * w + 64 then j else {hash15(seed, keys, 'j')} % n end as position,
-        case when n <= 4 * w + 64 then {hash15(seed, keys, 'j')} else j end as ord
-      from (select {keys}, n, w, unnest(range(case when n <= 4 * w + 64 then n else 2 * w + 32 end)) as j
-            from (select {keys}, cast({size} as bigint) as n, cast({want} as bigint) as w from {source}) a
-            where w > 0 and n > 0) b"""
-    return f"""select {keys}, slot, position from (
-      select *, row_number() over (partition by {keys} order by ord, j) as slot from (
-        select {keys}, position, w, min(ord) as ord, min(j) as j from ({cand}) c group by {keys}, position, w) d) e
-      where slot <= w"""
+    """Rows (keys, slot, position): the first places of a keyed permutation of [0, size), slots from 1.
+
+    The permutation adds hashes to the row and the column of a grid in turn, and walks on from places outside [0, size).
+    """
+
+    def once(source: str) -> str:
+        step = f"select *, (x - x % b) // b as l, x % b as r from ({source}) s0"
+        for i in range(1, 5):
+            moved = f"(l + {hash15(seed, keys, i, 'r')}) % a as l, r" if i % 2 else f"l, (r + {hash15(seed, keys, i, 'l')}) % b as r"
+            step = f"select {keys}, n, w, a, b, j, {moved} from ({step}) s{i}"
+        return f"select {keys}, n, w, a, b, j, l * b + r as x from ({step}) e"
+
+    sized = f"""select *, (n + a - 1) // a as b from (select *, cast(ceil(sqrt(cast(n as double))) as bigint) as a from (
+        select {keys}, cast({size} as bigint) as n, cast({want} as bigint) as w from {source}) z where w > 0 and n > 0) y"""
+    start = f"select *, unnest(range(least(n, w))) as j, unnest(range(least(n, w))) as x from ({sized}) v"
+    return f"""with recursive walk as ({once(start)} union all {once('select * from walk where x >= n')})
+      select {keys}, j + 1 as slot, x as position from walk where x < n"""
 
 
 VIEWS = {
@@ -223,6 +229,8 @@ BODIES = {
     "request_members": "select request_id, user_id from request_members",
     "request_validation": """select request_id, user_id, playlist_length,
         case when playlist_length < 0 then 'negative playlist_length' end as reason from requests""",
+    "rejected_requests": """select request_id, user_id, playlist_length, 'negative playlist_length' as reason
+      from requests where playlist_length < 0""",
     "ab_assignment": f"""select c_custkey as user_id, case when c_custkey % 2 = 0 then 'base' else 'advanced' end as model
       from customer
       union all select -1 - c_custkey, case when c_custkey = 0 or (1 + c_custkey) % 2 = 0 then 'base' else 'advanced' end

@@ -2,63 +2,45 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tunequorum.operators.scoring import score_block_tops, score_ends, score_pairs
-from tunequorum.runtime import durable
+from tunequorum.operators.lists import block_ids, item_blocks, partitions_of, rank_arrays, top_lists
+from tunequorum.operators.scoring import score_ends
 
-
-#: Catalogues beyond this size are ranked in score bands, so that no task sorts a whole list.
-LARGE_CATALOGUE = 2_000_000
-#: Bands per unit of score.
-BANDS_PER_UNIT = 64
+#: A user's list is cut into this many parts for the join with the groups, so that a user who is in
+#: very many groups is spread over that many tasks (and AQE splits the parts further).
+LIST_PARTS = 16
 
 
-def rank_scores(scores: DataFrame, banded: bool = False) -> DataFrame:
-    """0-based rank of each track in each user's list: by score descending, ties by track id.
+def user_topk(users: DataFrame, items: DataFrame, k: int | str, exclude: DataFrame | None = None) -> DataFrame:
+    """Best ``k`` tracks (or as many as a column of ``users`` says) of each user: (user_id, track_id, score, rank).
 
-    With ``banded`` a list is cut into bands of equal score width that are ranked on their own and
-    shifted by the sizes of the bands above; this evaluates ``scores`` twice.
+    Already liked tracks stay in unless ``exclude`` names them.
     """
-    if not banded:
-        order = Window.partitionBy("user_id").orderBy(F.desc("score"), "track_id")
-        return scores.withColumn("rank", (F.row_number().over(order) - 1).cast("bigint"))
-    cut = scores.withColumn("_band", F.floor(F.col("score") * -BANDS_PER_UNIT))
-    above = Window.partitionBy("user_id").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut.groupBy("user_id", "_band").agg(F.count(F.lit(1)).alias("_n")).select(
-        "user_id", "_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_offset")
-    )
-    order = Window.partitionBy("user_id", "_band").orderBy(F.desc("score"), "track_id")
-    return (
-        cut.withColumn("_rn", F.row_number().over(order)).join(offsets, ["user_id", "_band"])
-        .withColumn("rank", (F.col("_offset") + F.col("_rn") - 1).cast("bigint"))
-        .drop("_band", "_rn", "_offset")
-    )
+    return top_lists(users, items, k, exclude)
 
 
-def user_topk(users: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None = None) -> DataFrame:
-    """Best ``k`` tracks of each user; already liked tracks stay in unless ``exclude`` names them."""
-    if exclude is None:
-        # every block keeps its own best k, so only users x blocks x k rows are shuffled
-        scores = score_block_tops(users, items, k)
-    else:
-        scores = score_pairs(users, items).join(exclude.select("user_id", "track_id"), ["user_id", "track_id"], "left_anti")
-    order = Window.partitionBy("user_id").orderBy(F.desc("score"), "track_id")
-    # a literal bound on the row number itself lets every task keep only its own best rows before the shuffle
-    best = scores.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
-    return best.withColumn("rank", (F.col("position") - 1).cast("bigint")).drop("position")
+def _part(column: Column) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(LIST_PARTS)).cast("int")
+
+
+def _with_lists(members: DataFrame, lists: DataFrame, user: str = "user_id") -> DataFrame:
+    """``members`` with all rows of their users' lists; a user of very many groups is spread over tasks by track."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit(LIST_PARTS - 1))).alias("_part")
+    listed = lists.withColumnRenamed("user_id", user).withColumn("_part", _part(F.col("track_id")))
+    return members.select("*", parts).join(listed, [user, "_part"]).drop("_part")
 
 
 def list_overlap(pairs: DataFrame, lists: DataFrame, n: int) -> DataFrame:
     """Shared tracks of the two users' lists for each given pair (user_a, user_b): count and percent of ``n``."""
-    a = lists.select(F.col("user_id").alias("user_a"), "track_id")
     b = lists.select(F.col("user_id").alias("user_b"), "track_id")
     shared = (
-        pairs.join(a, "user_a").join(b, ["user_b", "track_id"])
+        _with_lists(pairs, lists.select("user_id", "track_id"), "user_a").join(b, ["user_b", "track_id"])
         .groupBy("user_a", "user_b").agg(F.count(F.lit(1)).alias("n_shared"))
     )
     return pairs.join(shared, ["user_a", "user_b"], "left").select(
@@ -72,269 +54,109 @@ def common_tracks(members: DataFrame, lists: DataFrame, key: str = "request_id")
     """Tracks that are in the list of every member of a group."""
     sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("n_members"))
     return (
-        members.join(lists, "user_id").groupBy(key, "track_id").agg(F.count(F.lit(1)).alias("n_lists"))
+        _with_lists(members.select(key, "user_id"), lists.select("user_id", "track_id")).groupBy(key, "track_id").agg(F.count(F.lit(1)).alias("n_lists"))
         .join(sizes, key).where(F.col("n_lists") == F.col("n_members")).select(key, "track_id")
     )
 
 
-#: A user's list is cut into this many hash parts for the join with the groups, so that a user who is in
-#: very many groups is spread over that many tasks (and AQE splits the parts further).
-LIST_PARTS = 16
-#: Stored lists are partitioned by the power of this base that a rank reaches, so a prefix reads few files.
-LEVEL_BASE = 8.0
-#: Undecided playlists are ranked again over prefixes that are this many times longer.
-GROWTH = 4
-#: A prefix pays while it is shorter than this part of the catalogue; beyond, whole lists are added as arrays,
-#: which cost about a hundredth per track (measured).
-PREFIX_PART = 128
-#: Catalogue tracks per rank array.
-ARRAY_SIZE = 4096
-
-
-def _level(rank: Column) -> Column:
-    return F.floor(F.log(LEVEL_BASE, rank + 1.0) + 1e-9).cast("int")
-
-
-def stored_lists(users: DataFrame, items: DataFrame, n_items: int) -> DataFrame:
-    """Full ranked lists (user_id, track_id, rank, level) of the distinct users as a stored table."""
-    scores = score_pairs(users, items)
-    ranks = rank_scores(scores, banded=n_items > LARGE_CATALOGUE).select("user_id", "track_id", "rank")
-    return durable(ranks.withColumn("level", _level(F.col("rank"))), ("level",))
+def _rank_sums(planned: DataFrame, arrays: DataFrame, key: str) -> DataFrame:
+    """(key, at, rank_sum): for each group and block of the catalogue the ``n_wanted`` places with the least rank sums.
 
-
-def prefix_depth(n_members: Column, n_wanted: Column, n_items: int) -> Column:
-    """A first guess of how many leading ranks per member decide a group's playlist.
-
-    Were the members' lists independent, the N-th smallest rank sum of M lists over I items would lie
-    near ``(N * M! / I) ** (1/M) * I``. The guess only sets the amount of work of the first round.
+    ``planned`` is (key, user_id, share, n_wanted), ``arrays`` comes from rank_arrays(). One row carries a member's ranks
+    over a block, 4 bytes a track. The rows of a group and block come in sequence, in the order of the users, and
+    are added up as arrays; ties go to the smaller place, that is, to the smaller id.
     """
-    m, i = n_members.cast("double"), F.lit(float(n_items))
-    guess = F.pow(n_wanted * F.factorial(n_members.cast("int")) / i, 1.0 / m) * i
-    several = F.coalesce(F.least(F.ceil(guess) + n_wanted, F.lit(n_items)), F.lit(n_items))
-    return F.when(n_members == 1, F.least(n_wanted, F.lit(n_items))).otherwise(several).cast("bigint")
-
-
-def _best_rank_sums(planned: DataFrame, lists: DataFrame, key: str, longest: int, common: bool) -> DataFrame:
-    """Per group the ``n_wanted`` tracks with the least possible rank sum, from prefixes of the lists.
-
-    ``planned`` is (key, user_id, share, n_members, shares, n_wanted, depth). A track missing from the
-    prefix of a member has at least rank ``depth`` there, so its sum is at least ``shares * depth - gain``
-    with ``gain`` the sum of ``share * (depth - rank)`` over the prefixes it occurs in. With ``common`` only tracks in
-    the prefixes of all members count.
-    """
-    part = F.pmod(F.xxhash64("track_id"), F.lit(LIST_PARTS)).cast("int")
     spread = planned.select(
-        key, "user_id", "share", "depth", F.explode(F.sequence(F.lit(0), F.lit(LIST_PARTS - 1))).alias("_part")
-    )
-    gains = (
-        spread.join(lists.select("user_id", "track_id", "rank", part.alias("_part")), ["user_id", "_part"])
-        .where(F.col("rank") < F.col("depth"))
-        .groupBy(key, "track_id")
-        .agg(F.sum(F.col("share") * (F.col("depth") - F.col("rank"))).alias("gain"), F.count(F.lit(1)).alias("n_lists"))
+        F.col(key).alias("k"), "user_id", "share", "n_wanted", F.explode(F.sequence(F.lit(0), F.lit(LIST_PARTS - 1))).alias("_part")
     )
-    per_group = planned.select(key, "n_members", "shares", "n_wanted", "depth").distinct()
-    if common:
-        gains = gains.join(per_group.select(key, "n_members"), key).where(F.col("n_lists") == F.col("n_members"))
-        gains = gains.drop("n_members")
-    order = Window.partitionBy(key).orderBy(F.desc("gain"), "track_id")
-    # the literal bound lets every task keep only its own best rows before the shuffle by group
-    best = gains.withColumn("position", F.row_number().over(order).cast("bigint")).where(F.col("position") <= longest)
-    return best.join(per_group, key).where(F.col("position") <= F.col("n_wanted")).withColumn(
-        "mean_rank", (F.col("shares") * F.col("depth") - F.col("gain")) / F.col("shares")
-    )
-
-
-def _rank_arrays(ranks: DataFrame, n_parts: int) -> DataFrame:
-    """Full lists as arrays (user_id, part, ranks): the ranks of the tracks of a catalogue part in id order."""
-    entry = F.struct("track_id", F.col("rank").cast("int").alias("rank"))
-    return (
-        ranks.groupBy("user_id", F.pmod(F.xxhash64("track_id"), F.lit(n_parts)).cast("int").alias("part"))
-        .agg(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["rank"]).alias("ranks"))
-    )
-
-
-def _add_rank_arrays(planned: DataFrame, ranks: DataFrame, items: DataFrame, key: str, longest: int, n_items: int) -> DataFrame:
-    """Best tracks of each group by rank sums over the full lists, as sums of rank arrays.
-
-    One row carries the ranks of a member over a catalogue part, so the shuffle moves 4 bytes per
-    member and track. The rows of a group and part come in sequence and are added up with numpy; only
-    the best ``longest`` tracks of the part leave the task.
-    """
-    n_parts = max(1, -(-n_items // ARRAY_SIZE))
-    salted = F.pmod("part", F.lit(LIST_PARTS)).alias("_part")
-    spread = planned.select(
-        F.col(key).alias("k"), "user_id", F.col("share").cast("double").alias("share"),
-        F.explode(F.sequence(F.lit(0), F.lit(min(n_parts, LIST_PARTS) - 1))).alias("_part"),
-    )
-    partitions = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        spread.join(_rank_arrays(ranks, n_parts).select("*", salted), ["user_id", "_part"])
-        .select("part", "k", "share", "ranks")
-        .repartition(partitions, "part", "k").sortWithinPartitions("part", "k")
+        spread.join(arrays.withColumn("_part", F.pmod("block", F.lit(LIST_PARTS)).cast("int")), ["user_id", "_part"])
+        .repartition(partitions_of(planned), "block", "k").sortWithinPartitions("block", "k", "user_id")
+        .select("block", "k", "start", "share", "n_wanted", "ranks")
     )
+    key_type = to_arrow_type(planned.schema[key].dataType)
 
-    def best_of(part, group, sums):
-        if len(sums) > longest:
-            cut = np.partition(sums, longest - 1)[longest - 1]
-            slots = np.flatnonzero(sums <= cut)
-            slots = slots[np.argsort(sums[slots], kind="stable")][:longest]  # ties to the smaller id
-        else:
-            slots = np.argsort(sums, kind="stable")
-        n = len(slots)
-        return np.full(n, part, "int32"), [group] * n, slots.astype("int32"), sums[slots]
+    def best_of(group, start: int, wanted: int, sums: np.ndarray) -> tuple:
+        slots = np.arange(len(sums))
+        if wanted < len(sums):
+            slots = np.flatnonzero(sums <= np.partition(sums, wanted - 1)[wanted - 1])
+        slots = slots[np.argsort(sums[slots], kind="stable")][:wanted]
+        return [group] * len(slots), start + slots, sums[slots]
 
-    names = ["part", "k", "slot", "rank_sum"]
-    key_type = pa.string() if isinstance(planned.schema[key].dataType, T.StringType) else pa.int64()
-
-    def table(found):
-        columns = list(zip(*found))
-        keys = [k for group in columns[1] for k in group]
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        keys, places, sums = zip(*found)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(columns[0])), pa.array(keys, type=key_type),
-             pa.array(np.concatenate(columns[2])), pa.array(np.concatenate(columns[3]))], names=names)
+            [pa.array([k for group in keys for k in group], key_type), pa.array(np.concatenate(places)), pa.array(np.concatenate(sums))], [key, "at", "rank_sum"]
+        )
 
-    def add_up(batches):
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
         for batch in batches:
             found = []
-            part, group, share, lists = (batch.column(c).to_pylist() if c == 1 else batch.column(c) for c in range(4))
-            part, share = part.to_numpy(), share.to_numpy()
+            block, group, start, share, wanted = (batch.column(c).to_pylist() for c in range(5))
+            lists = batch.column(5)
+            edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
             for row in range(batch.num_rows):
-                here = (part[row], group[row])
-                values = lists[row].values.to_numpy() * share[row]
-                if here == at:
-                    total = total + values
-                else:
-                    if at is not None:
-                        found.append(best_of(*at, total))
-                    at, total = here, values
+                here = (block[row], group[row])
+                values = flat[edges[row] : edges[row + 1]] * share[row]
+                if at is not None and here == at[:2]:
+                    total += values
+                    continue
+                if at is not None:
+                    found.append(best_of(*at[1:], total))
+                at, total = (*here, start[row], wanted[row]), values
             if found:
                 yield table(found)
         if at is not None:
-            yield table([best_of(*at, total)])
+            yield table([best_of(*at[1:], total)])
 
-    schema = T.StructType([
-        T.StructField("part", T.IntegerType()), T.StructField("k", planned.schema[key].dataType),
-        T.StructField("slot", T.IntegerType()), T.StructField("rank_sum", T.DoubleType()),
-    ])
-    ids = (
-        items.groupBy(F.pmod(F.xxhash64("track_id"), F.lit(n_parts)).cast("int").alias("part"))
-        .agg(F.sort_array(F.collect_list("track_id")).alias("ids"))
-        .select("part", F.posexplode("ids").alias("slot", "track_id"))
-    )
-    order = Window.partitionBy(key).orderBy("rank_sum", "track_id")
-    best = (
-        rows.mapInArrow(add_up, schema).join(ids, ["part", "slot"]).withColumnRenamed("k", key)
-        .withColumn("position", F.row_number().over(order).cast("bigint")).where(F.col("position") <= longest)
-    )
-    per_group = planned.select(key, "shares", "n_wanted").distinct()
-    return best.join(per_group, key).where(F.col("position") <= F.col("n_wanted")).withColumn(
-        "mean_rank", F.col("rank_sum") / F.col("shares")
-    )
+    return rows.mapInArrow(add_up, f"{key} {planned.schema[key].dataType.simpleString()}, at long, rank_sum double")
 
 
 def group_playlists(
     groups: DataFrame, members: DataFrame, users: DataFrame, items: DataFrame,
     key: str = "request_id", length: str = "playlist_length", k_per_user: int | None = None,
-    weight: str | None = None,
+    weight: str | None = None, blocks: DataFrame | None = None,
 ) -> DataFrame:
     """Playlists (key, position, track_id, mean_rank): the tracks with the least mean rank over the members.
 
     ``groups`` is (key, length), ``members`` (key, user_id), ``users`` (user_id, vec), ``items``
     (track_id, vec). Members without a vector are left out of the mean; a group of one gets its member's
-    list; ties go to the smaller track id.
-
-    The ranks are those of the full lists. Small groups over a large catalogue are tried with prefixes of
-    the lists first: a playlist is decided when all its tracks occur in the prefixes of all members, since
-    every other track then has a sum at least as large. Undecided groups go on with longer prefixes, and
-    where prefixes no longer pay, the full lists are added up as arrays.
+    list; ties go to the smaller track id. The ranks are those of the whole lists, for groups and catalogues of any
+    size. ``blocks``, from item_blocks(items), saves preparing the catalogue again for every call.
 
     With ``k_per_user`` each list is cut at that rank and only tracks in all the lists of a group count.
     With ``weight``, a positive column of ``members``, the mean is weighted by it.
     """
-    n_items = items.count()
-    # a list cannot be longer than the catalogue, whatever a request asks for
-    n_wanted = F.least(F.col(length).cast("bigint"), F.lit(n_items))
-    wanted = groups.where((F.col(length) > 0) & F.lit(n_items > 0)).select(key, n_wanted.alias("n_wanted"))
-    share = F.col(weight).cast("double") if weight else F.lit(1).cast("bigint")
+    wanted = groups.where(F.col(length) > 0).select(key, F.col(length).cast("bigint").alias("n_wanted"))
+    share = F.col(weight).cast("double") if weight else F.lit(1.0)
     warm = (
         members.select(key, "user_id", share.alias("share")).distinct()
         .join(users.select("user_id"), "user_id", "left_semi")
     )
-    asked = durable(
-        warm.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("user_id", "share"))).alias("members"))
-        .join(wanted, key)
-    )
+    asked = warm.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("user_id", "share"))).alias("members")).join(wanted, key)
     # the same members ask for one ranking, as long as the longest of their playlists
-    sets = durable(asked.groupBy("members").agg(F.min(key).alias("lead"), F.max("n_wanted").alias("n_wanted")))
-    places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_wanted"))).alias("position")
-    asked_places = asked.select(key, "members", places).join(
-        sets.select("members", "lead"), "members"
-    ).select(key, "lead", "position")
-    best = _set_playlists(sets.withColumnRenamed("lead", key), users, items, n_items, key, k_per_user)
-    return asked_places.join(best.withColumnRenamed(key, "lead"), ["lead", "position"]).select(
-        key, "position", "track_id", "mean_rank"
-    )
-
-
-def _set_playlists(
-    sets: DataFrame, users: DataFrame, items: DataFrame, n_items: int, key: str, k_per_user: int | None
-) -> DataFrame:
-    """Playlists of distinct member sets (key, members ARRAY<STRUCT<user_id, share>>, n_wanted)."""
-    sized = sets.select(
-        key, "n_wanted", F.size("members").cast("bigint").alias("n_members"),
-        F.aggregate("members", F.lit(0.0), lambda total, m: total + m["share"]).alias("shares"), "members",
-    )
-    depth = F.lit(int(k_per_user)) if k_per_user else prefix_depth(F.col("n_members"), F.col("n_wanted"), n_items)
-    planned = durable(
-        sized.withColumn("depth", depth.cast("bigint")).select("*", F.explode("members").alias("m"))
-        .select(key, "m.user_id", "m.share", "n_members", "shares", "n_wanted", "depth")
-    )
-    result = [key, "position", "track_id", "mean_rank"]
-    pays = F.col("depth") * PREFIX_PART < n_items
-
-    def bounds(open_groups: DataFrame):
-        return open_groups.agg(
-            F.max("n_wanted").alias("longest"), F.max("depth").alias("depth"),
-            F.max(F.when(pays, F.col("depth"))).alias("shallow"), F.bool_or(~pays).alias("deep"),
-        ).first()
-
-    limit = bounds(planned)
-    longest = limit.longest or 0
-    listed_users = users.join(planned.select("user_id"), "user_id", "left_semi")
-    if k_per_user is None and limit.shallow is None:
-        ranks = rank_scores(score_pairs(listed_users, items), banded=n_items > LARGE_CATALOGUE)
-        return _add_rank_arrays(planned, ranks, items, key, longest, n_items).select(*result)
-
+    sets = asked.groupBy("members").agg(F.min(key).alias("lead"), F.max("n_wanted").alias("n_wanted"))
+    planned = sets.select(
+        F.col("lead").alias(key), "n_wanted", F.size("members").cast("bigint").alias("n_members"),
+        F.aggregate("members", F.lit(0.0), lambda total, m: total + m["share"]).alias("shares"), F.explode("members").alias("m"),
+    ).select(key, "m.user_id", "m.share", "n_members", "shares", "n_wanted")
+    listed = users.join(planned.select("user_id"), "user_id", "left_semi")
+    per_set = sets.select(F.col("lead").alias(key), F.aggregate("members", F.lit(0.0), lambda total, m: total + m["share"]).alias("shares"), F.col("n_wanted").alias("most"))
     if k_per_user:
-        # only each user's best k leave the scoring tasks
-        lists = durable(user_topk(listed_users, items, k_per_user).select("user_id", "track_id", "rank"))
-        return _best_rank_sums(planned, lists, key, longest, True).select(*result)
-
-    lists = stored_lists(listed_users, items, n_items)
-
-    def prefixes(deepest: int) -> DataFrame:
-        return lists.where((F.col("level") <= _level(F.lit(deepest))) & (F.col("rank") < deepest))
-
-    whole = Window.partitionBy(key)
-    decided = F.min(F.col("n_lists") == F.col("n_members")).over(whole) & (
-        F.count(F.lit(1)).over(whole) == F.least(F.col("n_wanted"), F.lit(n_items))
-    )
-    done, open_groups = [], planned
-    while limit.shallow is not None:
-        best = durable(
-            _best_rank_sums(open_groups.where(pays), prefixes(limit.shallow), key, longest, False)
-            .select(*result, decided.alias("decided"))
-        )
-        settled = best.where("decided")
-        done.append(settled.drop("decided"))
-        open_groups = open_groups.join(settled.select(key).distinct(), key, "left_anti").withColumn(
-            "depth", F.when(pays, F.col("depth") * GROWTH).otherwise(F.col("depth"))
-        )
-        limit = bounds(open_groups)
-    if limit.deep:
-        done.append(_add_rank_arrays(open_groups, lists, items, key, longest, n_items).select(*result))
-    return reduce(DataFrame.unionByName, done)
+        found = _with_lists(planned, user_topk(listed, items, k_per_user).select("user_id", "track_id", "rank")).groupBy(key, "track_id").agg(
+            F.count(F.lit(1)).alias("n_lists"), F.max("n_members").alias("n_members"), F.round(F.sum(F.col("share") * F.col("rank")), 6).alias("rank_sum")
+        ).where("n_lists = n_members").withColumn("at", F.col("track_id"))
+    else:
+        blocks = item_blocks(items) if blocks is None else blocks
+        found = _rank_sums(planned, rank_arrays(listed, blocks), key)
+    order = Window.partitionBy(key).orderBy("rank_sum", "at")
+    best = found.withColumn("position", F.row_number().over(order).cast("bigint")).join(per_set, key).where("position <= most")
+    if not k_per_user:
+        best = best.join(block_ids(blocks), "at")
+    best = best.select(F.col(key).alias("lead"), "position", "track_id", (F.col("rank_sum") / F.col("shares")).alias("mean_rank"))
+    leads = asked.join(sets.select("members", "lead"), "members").select(key, "lead", "n_wanted")
+    return best.join(leads, "lead").where("position <= n_wanted").select(key, "position", "track_id", "mean_rank")
 
 
 def group_playlists_by_product(
@@ -349,10 +171,10 @@ def group_playlists_by_product(
     wanted = groups.where(F.col(length) > 0).select(key, F.col(length).cast("bigint").alias("n_wanted"))
     warm = members.select(key, "user_id").distinct().join(wanted.select(key), key, "left_semi").join(users.select("user_id"), "user_id", "left_semi")
     sizes = warm.groupBy(key).agg(F.count(F.lit(1)).alias("n_members"))
-    sized = durable(warm.join(sizes, key).withColumn("depth", F.col("n_members") * k_per_member))
-    largest = sized.agg(F.max("depth")).first()[0] or 1
-    listed_users = users.join(sized.select("user_id"), "user_id", "left_semi")
-    lists = user_topk(listed_users, items, largest)
+    sized = warm.join(sizes, key).withColumn("depth", F.col("n_members") * k_per_member)
+    # a list is as long as the largest of its user's own groups needs
+    listed_users = users.join(sized.groupBy("user_id").agg(F.max("depth").alias("longest")), "user_id")
+    lists = user_topk(listed_users, items, "longest")
     # the least score of a user over all items scales the list; only the two ends leave the scoring tasks
     ends = score_ends(listed_users, items).groupBy("user_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     scaled = lists.join(ends, "user_id").select(
@@ -360,7 +182,7 @@ def group_playlists_by_product(
         ((F.col("score") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))).alias("scaled"),
     )
     products = (
-        sized.join(scaled, "user_id").where(F.col("rank") < F.col("depth"))
+        _with_lists(sized, scaled).where(F.col("rank") < F.col("depth"))
         .groupBy(key, "track_id", "n_members")
         .agg(F.count(F.lit(1)).alias("n_lists"), F.count_if(F.col("scaled") <= 0).alias("zeros"),
              F.sum(F.when(F.col("scaled") > 0, F.ln("scaled"))).alias("logs"))

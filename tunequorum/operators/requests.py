@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tunequorum.functions.columns import ab_model
@@ -12,7 +14,8 @@ MODELS = ("base", "advanced")
 def validate_requests(requests: DataFrame) -> DataFrame:
     """Add ``reason``: NULL for a valid request, else why it is rejected."""
     reason = (
-        F.when(F.col("user_id").isNull(), "missing user_id")
+        F.when(F.col("request_id").isNull(), "missing request_id")
+        .when(F.col("user_id").isNull(), "missing user_id")
         .when(F.col("other_users").isNull(), "missing other_users")
         .when(F.col("playlist_length").isNull(), "missing playlist_length")
         .when(F.col("playlist_length") < 0, "negative playlist_length")
@@ -29,11 +32,16 @@ def request_members(requests: DataFrame) -> DataFrame:
     )
 
 
-def route(requests: DataFrame, routing: str = "ab") -> DataFrame:
-    """Add ``model`` and ``is_ab``: by the user's A/B bucket, or one fixed model for all."""
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """The requests that are not answered, each with its reason."""
+    return validate_requests(requests).where(F.col("reason").isNotNull())
+
+
+def route(requests: DataFrame, routing: str = "ab", models: Sequence[str] = MODELS) -> DataFrame:
+    """Add ``model`` and ``is_ab``: by the user's A/B bucket, or one fixed model of ``models`` for all."""
     if routing == "ab":
         return requests.withColumn("model", ab_model(F.col("user_id"))).withColumn("is_ab", F.lit(True))
-    if routing not in MODELS:
+    if routing not in models:
         raise ValueError(f"unknown model: {routing}")
     return requests.withColumn("model", F.lit(routing)).withColumn("is_ab", F.lit(False))
 

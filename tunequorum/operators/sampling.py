@@ -1,49 +1,74 @@
-"""Uniform sampling without replacement, by drawing positions instead of sorting populations.
+"""Uniform sampling without replacement, by permuting positions instead of sorting populations.
 
-A population is numbered once (``number_rows``); a sample of N is then N distinct hash-drawn
-positions and an equi-join on the position. The work grows with the samples, not with
-samples x population, and a heavy user's history never meets in one task.
+A population is numbered once (``number_rows``); a sample of N is then the first N places of a keyed permutation of its
+positions and an equi-join on the position. The work grows with the samples, not with samples x population, the
+same way for every size, and a heavy user's history never meets in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tunequorum.functions.hashing import hash_number
 from tunequorum.operators.numbering import id_index, number_rows
 
-#: Populations up to this multiple of the sample (plus the slack) are permuted as a whole.
-SMALL_FACTOR, SMALL_SLACK = 4, 64
-#: Larger ones get this many draws per wanted position (plus the slack), repeated positions skipped.
-DRAW_FACTOR, DRAW_SLACK = 2, 32
+#: Rounds of the Feistel network.
+ROUNDS = 4
+
+
+def _moved(i: int, l: Column, r: Column, rows: Column, width: Column, draw: Callable[..., Column]) -> tuple[Column, Column]:
+    """One round over the grid of ``rows`` x ``width`` places: odd rounds move the row by a hash of the column, even ones the
+    column by a hash of the row, so that different places stay different."""
+    return ((l + draw(F.lit(i), r)) % rows, r) if i % 2 else (l, (r + draw(F.lit(i), l)) % width)
+
+
+def _walk(x: Column, size: Column, rows: Column, width: Column, draw: Callable[..., Column]) -> Column:
+    """Further passes from a place outside [0, size) until one ends inside."""
+
+    def round_(i: int) -> Callable[[Column], Column]:
+        def step(s: Column) -> Column:
+            l, r = _moved(i, s["l"], s["r"], rows, width, draw)
+            return F.struct(l.alias("l"), r.alias("r"))
+
+        return step
 
+    def once(x: Column) -> Column:
+        at = F.struct(((x - x % width) / width).cast("bigint").alias("l"), (x % width).alias("r"))
+        for i in range(1, ROUNDS + 1):
+            at = F.get(F.transform(F.array(at), round_(i)), F.lit(0))
+        return F.get(F.transform(F.array(at), lambda s: s["l"] * width + s["r"]), F.lit(0))
 
-def drawn_positions(size: Column, want: Column, seed, *keys) -> Column:
-    """Array of ``min(want, size)`` distinct positions in ``[0, size)``, in drawn order.
+    return F.aggregate(F.sequence(F.lit(1).cast("bigint"), rows), x, lambda y, _: F.when(y < size, y).otherwise(once(y)))
 
-    The first distinct values of independent uniform draws are a uniform sample. With more than
-    4 x want + 64 positions, 2 x want + 32 draws repeat so rarely that fewer than ``want`` distinct
-    ones have a probability below 1e-20; smaller populations are permuted and cannot fall short.
+
+def with_draws(df: DataFrame, size: Column, want: Column, seed, *keys: Column) -> DataFrame:
+    """``df`` with one row for each of ``min(want, size)`` distinct positions in [0, size): columns slot (from 0) and drawn.
+
+    They are the first places of a permutation of [0, size) that ``seed`` and ``keys`` choose, a Feistel network over a
+    grid. The grid has fewer than sqrt(size) places too many; who lands there walks on until it is inside (cycle
+    walking), which takes no more passes than there are such places. Rows without positions go.
     """
-    size, want = size.cast("bigint"), F.greatest(want.cast("bigint"), F.lit(0).cast("bigint"))
+    rows = F.ceil(F.sqrt(F.col("_n").cast("double")))
+    width = ((F.col("_n") + F.col("_rows") - 1 - (F.col("_n") + F.col("_rows") - 1) % F.col("_rows")) / F.col("_rows")).cast("bigint")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    carried = df.columns
+    out = df.withColumns({"_n": size.cast("bigint"), "_want": F.least(size.cast("bigint"), want.cast("bigint")), "_key": F.concat_ws("|", *[F.lit(str(seed)), *[k.cast("string") for k in keys]])})
+    out = out.where("_n > 0 and _want > 0").withColumn("_rows", rows).withColumn("_width", width)
+    out = out.withColumn("slot", F.explode(F.sequence(zero, F.col("_want") - one)))
+    out = out.withColumns({"_l": ((F.col("slot") - F.col("slot") % F.col("_width")) / F.col("_width")).cast("bigint"), "_r": F.col("slot") % F.col("_width")})
 
-    def draw(j: Column) -> Column:
-        return hash_number(seed, *keys, j)
+    def draw(i: Column, half: Column) -> Column:
+        return hash_number(F.col("_key"), i, half)
 
-    permuted = F.transform(
-        F.sort_array(F.transform(F.sequence(zero, size - 1), lambda j: F.struct(draw(j).alias("h"), j.alias("j")))),
-        lambda x: x["j"],
-    )
-    drawn = F.array_distinct(
-        F.transform(F.sequence(zero, want * DRAW_FACTOR + (DRAW_SLACK - 1)), lambda j: draw(j) % size)
-    )
-    # the branches of CASE are lazy, so only one of the two lists is built
-    chosen = F.when(size <= want * SMALL_FACTOR + SMALL_SLACK, permuted).otherwise(drawn)
-    empty = F.array().cast("array<bigint>")
-    return F.when((size < one) | (want < one) | size.isNull(), empty).otherwise(
-        F.slice(chosen, F.lit(1), want.cast("int"))
-    )
+    for i in range(1, ROUNDS + 1):
+        l, r = _moved(i, F.col("_l"), F.col("_r"), F.col("_rows"), F.col("_width"), draw)
+        out = out.withColumns({"_l": l, "_r": r})
+    out = out.withColumn("_x", F.col("_l") * F.col("_width") + F.col("_r"))
+    # the branches of CASE are lazy: only the few that land outside walk on
+    inside = F.when(F.col("_x") < F.col("_n"), F.col("_x")).otherwise(_walk(F.col("_x"), F.col("_n"), F.col("_rows"), F.col("_width"), draw))
+    return out.withColumn("drawn", inside).select(*carried, "slot", "drawn")
 
 
 def numbered_history(pairs: DataFrame, shards: int = 16) -> DataFrame:
@@ -57,11 +82,9 @@ def history_sizes(history: DataFrame) -> DataFrame:
 
 def sample_user_history(history: DataFrame, users: DataFrame, n: int, seed: int) -> DataFrame:
     """``n`` tracks from each user's own numbered history; fewer, flagged ``short``, where the history is shorter."""
-    drawn = (
-        users.join(history_sizes(history), "user_id")
-        .select("user_id", (F.col("n_history") < n).alias("short"),
-                F.posexplode(drawn_positions(F.col("n_history"), F.lit(n), seed, F.col("user_id")))
-                .alias("slot", "position_in_history"))
+    sized = users.select("user_id").join(history_sizes(history), "user_id")
+    drawn = with_draws(sized, F.col("n_history"), F.lit(n), seed, F.col("user_id")).select(
+        "user_id", (F.col("n_history") < n).alias("short"), "slot", F.col("drawn").alias("position_in_history")
     )
     return drawn.join(history, ["user_id", "position_in_history"]).select(
         "user_id", (F.col("slot") + 1).cast("bigint").alias("position"), "track_id", "short"
@@ -105,18 +128,17 @@ def sample_group_history(
 
 
 def _draw_from_pool(groups: DataFrame, sizes: DataFrame, key: str, length: str, seed: int) -> DataFrame:
-    slots = F.posexplode(drawn_positions(F.col("n_pool"), F.col(length), seed, F.col(key)))
-    return groups.join(sizes, key).select(
-        key, (F.col("n_pool") < F.col(length)).alias("short"), slots.alias("slot", "position_in_pool")
-    ).select(key, "short", "position_in_pool", (F.col("slot") + 1).cast("bigint").alias("position"))
+    sized = groups.select(key, length).join(sizes, key)
+    return with_draws(sized, F.col("n_pool"), F.col(length), seed, F.col(key)).select(
+        key, (F.col("n_pool") < F.col(length)).alias("short"), F.col("drawn").alias("position_in_pool"), (F.col("slot") + 1).alias("position")
+    )
 
 
 def random_members(population: DataFrame, column: str, draws: DataFrame, key: str, want: Column, seed) -> DataFrame:
     """``want`` random members of a population per row of ``draws``: (key, position, column)."""
     index = id_index(population, column)
     size = population.where(F.col(column).isNotNull()).agg(F.countDistinct(column)).scalar()
-    slots = F.posexplode(drawn_positions(F.col("_size"), want, seed, F.col(key)))
-    drawn = draws.withColumn("_size", size).select(key, slots.alias("slot", "idx"))
+    drawn = with_draws(draws.withColumn("_size", size), F.col("_size"), want, seed, F.col(key)).select(key, "slot", F.col("drawn").alias("idx"))
     return drawn.join(index, "idx").select(key, (F.col("slot") + 1).cast("bigint").alias("position"), column)
 
 

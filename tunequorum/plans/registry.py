@@ -11,6 +11,7 @@ from tunequorum.operators import evaluation as ev
 from tunequorum.operators import fallbacks as fb
 from tunequorum.operators import features as ft
 from tunequorum.operators import interactions as it
+from tunequorum.operators import lists as ls
 from tunequorum.operators import numbering as nb
 from tunequorum.operators import outcomes as oc
 from tunequorum.operators import quality as ql
@@ -173,6 +174,11 @@ def request_validation(spark, sf):
     return rq.validate_requests(ad.requests(spark, sf)).select("request_id", "user_id", "playlist_length", "reason")
 
 
+@query
+def rejected_requests(spark, sf):
+    return rq.rejected_requests(ad.requests(spark, sf)).select("request_id", "user_id", "playlist_length", "reason")
+
+
 @query
 def ab_assignment(spark, sf):
     ids = ad.profile_ids(spark, sf)
@@ -239,7 +245,7 @@ def user_scores(spark, sf):
 
 @query
 def user_ranks(spark, sf):
-    return rk.rank_scores(user_scores(spark, sf))
+    return ls.full_lists(ad.user_vectors(spark, sf), ad.item_vectors(spark, sf))
 
 
 @query

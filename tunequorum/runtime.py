@@ -27,9 +27,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: Scratch paths handed out by this driver and not yet deleted, oldest first.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A new path of its own in the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A place in the list of scratch paths; what is handed out later comes after it."""
+    return len(_handed_out)
+
+
+def scratch_since(mark: int) -> list[str]:
+    return _handed_out[mark:]
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that no DataFrame in use reads any more; paths of others are refused."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        if path not in _handed_out:
+            raise ValueError(f"not a scratch path of this driver: {path}")
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def durable(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
