@@ -26,7 +26,7 @@ CLOSES = {
 #: Elements that a stray end tag inside them does not close.
 SCOPES = frozenset("body main article section nav aside header footer div form table td th blockquote".split())
 
-_CUT_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
+_TAG_START = re.compile(r"<[a-zA-Z/!]")
 
 
 @dataclass
@@ -49,6 +49,7 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#page", -1)]
         self.open: list[tuple[str, int]] = [("#page", 0)]  # every open element with its block's place
+        self.depths: dict[str, list[int]] = {}  # where in ``open`` elements of a name stand
         self.blocks: list[tuple[int, str]] = []  # (block element, text) in page order
         self.pending: list[str] = []
         self.owner = 0
@@ -68,6 +69,7 @@ class _Builder(HTMLParser):
     def _pop(self, count: int) -> None:
         for _ in range(count):
             tag, _ = self.open.pop()
+            self.depths[tag].pop()
             if tag in BLOCKS:
                 self._flush()
             self.links -= tag == "a"
@@ -75,15 +77,19 @@ class _Builder(HTMLParser):
             self.foreign -= tag in FOREIGN
         self.owner = self.open[-1][1]
 
+    def _push(self, tag: str) -> None:
+        self.depths.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, self.owner))
+
+    def _last(self, names: tuple[str, ...] | frozenset[str]) -> int:
+        """Depth of the innermost open element of ``names``, 0 if there is none; the work doesn't grow with the depth."""
+        return max((at[-1] for n in names if (at := self.depths.get(n))), default=0)
+
     def _end(self, names: tuple[str, ...], stop: frozenset[str] | tuple[str, ...]) -> None:
         """Close the innermost open element of ``names``, if none of ``stop`` is opened inside it."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.open[depth][0]
-            if tag in names:
-                self._pop(len(self.open) - depth)
-                return
-            if tag in stop:
-                return
+        depth = self._last(names)
+        if depth and depth >= self._last(stop):
+            self._pop(len(self.open) - depth)
 
     def _end_head(self) -> None:
         """Close a head that nothing else skipped is open in; its end tag and the body's tags may be left out."""
@@ -96,7 +102,7 @@ class _Builder(HTMLParser):
         self.foreign += tag in FOREIGN
         if tag in SKIPPED:
             self.skip += 1
-            self.open.append((tag, self.owner))
+            self._push(tag)
             return
         if self.skip and tag == "body":  # a head that was never closed
             while self.skip:
@@ -120,7 +126,7 @@ class _Builder(HTMLParser):
             self.nodes.append(Node(tag, self.owner, hints, "data-content" in values, above.inner or above.tag == "article"))
             self.owner = len(self.nodes) - 1
         self.links += tag == "a"
-        self.open.append((tag, self.owner))
+        self._push(tag)
 
     def handle_startendtag(self, tag, attrs):
         if tag not in HEAD_TAGS:
@@ -147,11 +153,17 @@ class _Builder(HTMLParser):
             self.nodes[self.owner].link_chars += size
 
 
+def _whole_tags(html: str) -> str:
+    """The page without a tag that its end cuts off; what such a tag has swallowed goes with it."""
+    cut = _TAG_START.search(html, html.rfind(">") + 1)
+    return html[: cut.start()] if cut else html
+
+
 def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """Nodes in page order (parents first) and their blocks of text; anything is accepted, nothing is dropped but
     elements without readable text. Counts of characters include those of children."""
     builder = _Builder()
-    builder.feed(_CUT_TAG.sub("", html or ""))
+    builder.feed(_whole_tags(html or ""))
     builder.close()
     builder._pop(len(builder.open) - 1)
     builder._flush()

@@ -181,9 +181,16 @@ def main_text(html: str | None, model: TreeModel) -> str:
 
 
 def training_sample(pages: DataFrame, html_col: str = "html") -> list[str]:
-    """At most SAMPLE_PAGES pages of at most SAMPLE_CHARS characters: those with the least hashes."""
-    short = pages.select(html_col).where(F.length(html_col) <= SAMPLE_CHARS)
-    return [r[0] for r in short.orderBy(F.xxhash64(html_col), html_col).limit(SAMPLE_PAGES).collect()]
+    """At most SAMPLE_PAGES different pages of at most SAMPLE_CHARS characters: those with the least hashes.
+
+    Hashes alone are sorted; only the chosen pages are then fetched, one for each hash.
+    """
+    short = pages.where(F.length(html_col) <= SAMPLE_CHARS).select(F.xxhash64(html_col).alias("hash"), F.col(html_col).alias("html"))
+    last = short.select("hash").distinct().orderBy("hash").limit(SAMPLE_PAGES).agg(F.max("hash")).first()[0]
+    if last is None:
+        return []
+    chosen = short.where(F.col("hash") <= last).groupBy("hash").agg(F.min("html").alias("html"))
+    return [r.html for r in chosen.orderBy("hash").collect()]
 
 
 def extract(
@@ -191,7 +198,8 @@ def extract(
 ) -> DataFrame:
     """(id_col, url_col, text, n_chars): one row for each row of ``pages``; null or empty pages have an empty text.
 
-    The model is trained on a sample of ``pages`` unless given.
+    The model is trained on a sample of ``pages`` unless given. Repeated rows and ids each get their row; an empty table
+    gives none; other columns are not read. A page of any length is parsed in one pass.
     """
     model = train(training_sample(pages, html_col)) if model is None else model
 

@@ -10,7 +10,7 @@ Short notices are names of licences: they are matched by runs of two words, and
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -253,12 +253,16 @@ class LicenceScanner:
         notice also yields to a longer one that holds it."""
         good = [(s, e, t, n) for s, e, t, n, whole in chains if whole and n >= MIN_COVER * self.sizes[t]]
 
+        good.sort()
+        starts, longest = [s for s, *_ in good], max((e - s for s, e, *_ in good), default=0)
+
         def yields(s: int, e: int, t: int, n: int) -> bool:
             size, label = self.sizes[t], self.labels[t]
+            around = range(bisect_right(starts, s - longest), bisect_left(starts, e))  # no span farther off can overlap
             return any(
                 (label != self.labels[u] and n < size and s < f and b < e and (m, m / self.sizes[u]) > (n, n / size))
                 or (size < SHORT and self.sizes[u] < SHORT and n < m and b <= s and e <= f)
-                for b, f, u, m in good
+                for b, f, u, m in (good[i] for i in around)
             )
 
         return [(s, e, self.labels[t], n / self.sizes[t]) for s, e, t, n in good if not yields(s, e, t, n)]
@@ -283,6 +287,8 @@ def licence_report(
 
     ``spans`` are the stretches of words (from 0, end exclusive) that cover at least MIN_COVER of a template. ``score`` is
     the largest share of a template that a text covers, 1 where a phrase stands. Null and empty texts have no words and score 0.
+    Repeated rows and ids each get their row, an empty table gives none, other columns are not read. The work grows
+    with a text's length alone: a chain is matched within its template's reach, a span is held against those it overlaps.
     """
     scanner = LicenceScanner(phrases, templates)  # a few thousand states, sent with the function
 

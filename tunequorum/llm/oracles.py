@@ -97,7 +97,46 @@ select pair_id, any_value(n_common) as n_common,
 from r group by pair_id
 """
 
+NEAR_VECTORS = """
+with recursive w as (select vec_id, label, cast(embedding as double[]) as e, row_number() over () as r from embeddings),
+v as (select vec_id, label, r, case when len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 then e end as e from w),
+ok as (select *, sqrt(list_sum(list_transform(e, lambda x: x * x))) as norm from v where label is not null and len(list_filter(e, lambda x: x <> 0)) > 0),
+p as (select a.r as x, b.r as y from ok a join ok b on a.label = b.label and a.r <> b.r and len(a.e) = len(b.e)
+      and list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(x, y) as (select x, y from p union select reach.x, p.y from reach join p on reach.y = p.x),
+least as (select x, min(vec_id) as id from reach join v on v.r = reach.y group by x),
+links as (select x, count(*) as n from p group by x)
+select vec_id, coalesce(n, 0) as n_links, coalesce(id, vec_id) as component_id, vec_id is not distinct from coalesce(id, vec_id) as kept
+from v left join links on links.x = r left join least on least.x = r
+"""
+
+PREFIX_TRIE = """
+with t as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+g as (select c, length(text) as w, substr(sha256(length(role) || ':' || role || text), 1, 32) as digest, turn from t),
+n as (select c, w, digest, row_number() over (partition by c order by turn nulls first, digest) - 1 as p from g),
+k as (select c, count(*) as own, c - c % 100 as base, xor(list_reduce(
+          flatten(list_transform(string_split(c::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+          lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end, 4294967295::bigint
+      ), 4294967295) % 6 as h from n group by c),
+f as (select k.c, k.base, k.h, least(k.h, coalesce(b.own, 0)) as given from k left join k b on b.c = k.base),
+r as (select f.c, p, digest, w from f join n on n.c = f.base and p < h
+      union all select f.c, given + p - h, digest, w from f join n on n.c = f.c and p >= h),
+s as (select f.c, coalesce(list(digest order by p) filter (p is not null), []) as ds, list(w order by p) as ws from f left join r on r.c = f.c group by f.c),
+m as (select c, len(ds) as length, unnest(range(0, len(ds) + 1)) as d, ds, ws from s),
+e as (select c, length, d, array_to_string(ds[1:d], '') as key, array_to_string(ds[1:d - 1], '') as above, ws[d] as w from m),
+nodes as (select d, key, max(above) as above, min(c) as conv_id, count(*) as n_convs, max(w) as w,
+                 sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (length = d), '')) as ends_sha256 from e group by d, key),
+kids as (select above as key, d - 1 as d, count(*) as n_children from nodes where d > 0 group by all),
+own as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (d, key)),
+under as (select a.d, a.key, sum(case when o.n_children = 0 then 1 else 0 end)::bigint as n_leaves,
+                 sum(case when o.d > 0 then (o.n_convs - 1) * o.w else 0 end)::bigint as saved_tokens
+          from own o join e a on a.c = o.conv_id and a.d <= o.d group by a.d, a.key)
+select o.conv_id, o.d as depth, parent.conv_id as parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, o.ends_sha256
+from own o join under using (d, key) left join nodes parent on o.d > 0 and parent.d = o.d - 1 and parent.key = o.above
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_packing": packing_sql(), "op5_preference_format": PREFERENCES,
     "op7_quality_rules": QUALITY, "op10_exact_dedup": EXACT_DEDUP,
+    "op11_embedding_near_dedup": NEAR_VECTORS, "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tunequorum.llm.text import let, words
 from tunequorum.runtime import durable
 
 MAX_TOKENS = 4096
@@ -54,6 +55,18 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def piece_texts(docs: DataFrame, id_col: str, text_col: str, max_tokens: int) -> DataFrame:
+    """pieces() with their words, joined by one space, as column text; a text is split once however long it is."""
+    def cut(found: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0)), F.lit(max_tokens))
+        return F.transform(starts, lambda s: F.struct(s.cast("long").alias("start"), F.slice(found, s + 1, F.lit(max_tokens)).alias("words")))
+
+    each = docs.select(F.col(id_col).alias("id"), F.posexplode(let(words(F.col(text_col)), cut)).alias("piece", "x"))
+    return each.select(
+        "id", F.col("piece").cast("long").alias("piece"), "x.start", F.size("x.words").cast("long").alias("n_tokens"), F.array_join("x.words", " ").alias("text")
+    )
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, max_tokens: int, length: Column | None = None) -> DataFrame:
     """(id, piece, start, n_tokens): each text cut into pieces of at most ``max_tokens``; an empty one is one piece."""
     total = F.coalesce(n_words(F.col(text_col)) if length is None else length, F.lit(0)).cast("long")
@@ -66,15 +79,17 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, max_tokens: int, length:
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: Column | None = None,
-    max_tokens: int = MAX_TOKENS, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS,
+    max_tokens: int = MAX_TOKENS, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS, with_text: bool = False,
 ) -> DataFrame:
-    """(id_col, piece, start, n_tokens, bucket, padded_to, batch, slot): one row for each piece of each row of ``docs``.
+    """(id_col, piece, start, n_tokens, bucket, padded_to, batch, slot[, text]): one row for each piece of each row of ``docs``.
 
     Lengths are words unless ``length`` gives another count. Pieces of a bucket are padded to its bound; a batch holds
     as many as ``batch_tokens`` padded tokens allow, at least one. Inside a bucket pieces are numbered by id (null
     first), then piece, then length; repeated rows follow each other. Null and empty texts have one piece of length 0.
-    An empty table gives no rows.
+    An empty table gives no rows. ``with_text`` adds the words of each piece, joined by one space.
     """
+    if with_text and length is not None:
+        raise ValueError("texts are cut by words, not by another length")
     cut = durable(pieces(docs, id_col, text_col, max_tokens, length))
     histogram = sorted((r.n_tokens, r.n) for r in cut.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect())
     bounds = best_bounds([x for x, _ in histogram], [n for _, n in histogram], buckets)
@@ -82,8 +97,9 @@ def pack(
     bucket = F.size(F.filter(ends, lambda end: end < F.col("n_tokens"))).cast("long")
     order = ["bucket", "id", "piece", "n_tokens"]
     # ranges of the global order; an id says where in its range a row stands, and is kept by writing it
+    rows = piece_texts(docs, id_col, text_col, max_tokens) if with_text else cut
     placed = durable(
-        cut.withColumn("bucket", bucket).repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.withColumn("bucket", bucket).repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("place", F.monotonically_increasing_id())
     )
     part = F.shiftright("place", 33)
@@ -95,7 +111,7 @@ def pack(
     room = F.greatest(F.floor(F.lit(batch_tokens) / F.greatest(padded, F.lit(1))), F.lit(1)).cast("long")
     return numbered.select(
         F.col("id").alias(id_col), "piece", "start", "n_tokens", "bucket", padded.alias("padded_to"),
-        F.floor(F.col("number") / room).cast("long").alias("batch"), F.pmod("number", room).alias("slot"),
+        F.floor(F.col("number") / room).cast("long").alias("batch"), F.pmod("number", room).alias("slot"), *["text"] * with_text,
     )
 
 

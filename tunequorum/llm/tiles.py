@@ -111,7 +111,8 @@ def _tiles(classes: DataFrame, basis: np.ndarray, dtype: str) -> DataFrame:
     first = basis[:, 0].tolist() if len(basis) else []
     scale = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, c: s + c.cast("double") * c))
     axis = F.array(*[F.lit(v) for v in first]).cast("array<double>")
-    lead = F.when(F.size("vec") == len(first), F.aggregate(F.zip_with("vec", axis, lambda c, w: c.cast("double") * w), F.lit(0.0), lambda s, c: s + c) / scale)
+    along = F.aggregate(F.zip_with("vec", axis, lambda c, w: c.cast("double") * w), F.lit(0.0), lambda s, c: s + c)
+    lead = F.when(F.size("vec") == len(first), F.try_divide(along, scale))  # decides only which rows stand together
     sized = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vec").cast("long")).alias("entries")).first()
     parts = max(1, math.ceil(8 * (sized.entries or 0) / PARTITION_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(sized.n / (4 * TILE))))
     dealt = classes.select("grp", F.size("vec").alias("width"), lead.alias("lead"), "node", "size", "vec")
