@@ -102,7 +102,7 @@ with recursive w as (select vec_id, label, cast(embedding as double[]) as e, row
 v as (select vec_id, label, r, case when len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 then e end as e from w),
 ok as (select *, sqrt(list_sum(list_transform(e, lambda x: x * x))) as norm from v where label is not null and len(list_filter(e, lambda x: x <> 0)) > 0),
 p as (select a.r as x, b.r as y from ok a join ok b on a.label = b.label and a.r <> b.r and len(a.e) = len(b.e)
-      and list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+      and list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) / (a.norm * b.norm) >= 0.98),
 reach(x, y) as (select x, y from p union select reach.x, p.y from reach join p on reach.y = p.x),
 least as (select x, min(vec_id) as id from reach join v on v.r = reach.y group by x),
 links as (select x, count(*) as n from p group by x)
