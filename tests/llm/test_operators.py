@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -346,6 +347,31 @@ def test_extraction_on_the_pages(spark):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("page", ["<b>" * 20_000 + "x</i>" * 20_000, "<a " * 20_000, "<i><div>" + "<b>" * 20_000 + "</i>" * 20_000, "<!-- >" * 20_000,
+                                  "<div>" * 20_000 + "x", "<ul><li>" * 20_000])
+def test_hostile_pages_take_linear_time(page):
+    began = time.monotonic()
+    extraction.parse(page)
+    assert time.monotonic() - began < 10
+
+
+@pytest.mark.parametrize("notice, spans", [("MIT License and GNU LGPL; ", 8000), ("CC BY-NC 4.0. ", 4000)])
+def test_long_texts_of_notices_take_linear_time(notice, spans):
+    began = time.monotonic()
+    assert len(licenses.LicenceScanner().scan(notice * 4000)["spans"]) == spans
+    assert time.monotonic() - began < 10
+
+
+def test_training_sample_is_bounded_and_without_repeats(spark, monkeypatch):
+    monkeypatch.setattr(extraction, "SAMPLE_PAGES", 5)
+    monkeypatch.setattr(extraction, "SAMPLE_CHARS", 100)
+    given = ["<p>same"] * 30 + [f"<p>{i}" for i in range(20)] + ["x" * 200, None]
+    pages = spark.createDataFrame([(h,) for h in given], "html string").repartition(4)
+    sample = extraction.training_sample(pages)
+    assert len(sample) == len(set(sample)) == 5 and sample == extraction.training_sample(pages.repartition(7))
+    assert extraction.training_sample(pages.where("false")) == []
+
+
 # --- tokens -----------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -414,8 +440,54 @@ def test_token_files(spark, library, tmp_path, monkeypatch):
     assert rans.read_tokens(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_piece_memory_is_bounded_by_bytes(library):
+    draw, made = random.Random(3), []
+    texts = [" ".join("".join(draw.choices("abcdefgh", k=draw.choice([3, 40, 4000]))) for _ in range(30)) for _ in range(300)]
+    texts += ["same words again, and again; same" for _ in range(50)]
+
+    def encode_new(new):
+        made.extend(new)
+        return [np.array(library.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in new]
+
+    memory = {kind: pieces.Memory() for kind in ("first", "later", "marks")}
+    encoder = pieces.PieceEncoder(encode_new, memory, limit=1 << 18)
+    pieces_before, pieces.CHUNK_CHARS = pieces.CHUNK_CHARS, 20_000
+    try:
+        for text, ids in zip(texts, encoder(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+            assert all(m.held < (1 << 17) + 100_000 for m in memory.values())
+    finally:
+        pieces.CHUNK_CHARS = pieces_before
+    assert made.count(" again") == 1  # what is met again stays
+
+
+def test_pieces_may_be_encoded_together(library):
+    given = list({p for t in fuzz(400) for p in pieces.pieces(t)})
+    groups, others = pieces.joined(given, 7)
+    assert sorted([k for g in groups for k in g] + others) == list(range(len(given))) and groups
+    for group in groups:
+        apart = [i for k in group for i in library.encode(given[k], add_special_tokens=False).ids]
+        assert library.encode("".join(given[k] for k in group), add_special_tokens=False).ids == apart
+
+
 # --- pipeline ---------------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("with_counts", [True, False])
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path, with_counts):
+    """Nulls, repeats, very long texts and clashing names, with and without n_chars; no text is lost on the way."""
+    good = [(20 + i, " ".join(f"w{j}x{i}" for j in range(30 + 300 * (i % 2))), "en", "s", 1, 1, "r", "d", "f", "s") for i in range(12)]
+    table = spark.createDataFrame(ODD + good + [(60, " ".join(f"z{j}" for j in range(9000)), None, None, None, 1, "x", "y", "z", "s")], SCHEMA)
+    table = table if with_counts else table.drop("n_chars")
+    table.write.parquet(f"{tmp_path}/some/documents.parquet")
+    table.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/some").toPandas()
+    kept = {doc_id: " ".join(p.sort_values("piece").text) for doc_id, p in got.groupby("doc_id")}
+    assert {i: t for i, t, *_ in good}.items() <= kept.items() and kept[60].split() == [f"z{j}" for j in range(9000)]
+    assert (got.text.str.split().map(len) == got.n_tokens).all()
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+
 def test_pipeline_against_plain_steps(spark):
     """Every stage against its plain definition, on what the stage before it kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -15,9 +15,12 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Nor do they join a letter or digit with marks like these behind it.
 MARKS = ".,;:!?|#$%&*"
 
-#: Characters of texts that are in work together, and pieces that a worker remembers before it starts anew.
+#: Characters of texts that are in work together.
 CHUNK_CHARS = 1 << 20
-MEMORY = 700_000
+#: Bytes that a worker remembers of each kind of piece before what it hasn't met again goes, and what an entry takes
+#: besides its texts.
+MEMORY_BYTES = 192 << 20
+ENTRY_BYTES = 220
 
 
 def cut(text: str) -> list[str]:
@@ -46,48 +49,90 @@ def chunks(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield held
 
 
-def worker_memory(key: str) -> dict[str, dict[str, bytes]]:
-    """Dictionaries that outlive a task in its Python worker; functions sent by value have no globals that do."""
+class Memory:
+    """What is known of pieces, in two generations: when the young one is full the old one goes and the young one takes
+    its place, so what is met again stays and the bytes held are bounded whatever the length of pieces."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def add(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.young.update(zip(pieces, ids))
+        self.held += sum(map(len, pieces)) + sum(map(len, ids)) + ENTRY_BYTES * len(pieces)
+
+    def recall(self, pieces: set[str]) -> list[str]:
+        """Take pieces that the old generation knows into the young one; the others are returned."""
+        known = [p for p in pieces if p in self.old] if self.old else []
+        self.add(known, [self.old[p] for p in known])
+        return list(pieces.difference(known))
+
+    def age(self, limit: int) -> None:
+        if 2 * self.held > limit:
+            self.young, self.old, self.held = {}, self.young, 0
+
+
+def worker_memory(key: str) -> dict[str, Memory]:
+    """Memories that outlive a task in its Python worker; functions sent by value have no globals that do. There is one
+    for each ``key``, which names what the ids depend on."""
     module = sys.modules.setdefault("tunequorum_worker_memory", ModuleType("tunequorum_worker_memory"))
-    return vars(module).setdefault(key, {"first": {}, "later": {}, "stems": {}})
+    return vars(module).setdefault(key, {kind: Memory() for kind in ("first", "later", "marks")})
 
 
 class PieceEncoder:
     """Encodes texts through ``encode_new``, which gets distinct strings and returns each one's packed ids.
 
-    ``memory`` holds what is known of the first pieces of texts, of those behind a space, and of both without marks;
-    one of the three with over ``limit`` pieces starts anew.
+    ``memory`` holds what is known of the first pieces of texts, of those behind a space, and of the marks behind both,
+    each within ``limit`` bytes beside what a chunk of texts needs at once.
     """
 
     def __init__(
-        self, encode_new: Callable[[list[str]], list[bytes]], memory: dict[str, dict[str, bytes]], limit: int = MEMORY
+        self, encode_new: Callable[[list[str]], list[bytes]], memory: dict[str, Memory], limit: int = MEMORY_BYTES
     ):
         self.encode_new, self.memory, self.limit = encode_new, memory, limit
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        first, later = self.memory["first"], self.memory["later"]
         for chunk in chunks(texts):
             for known in self.memory.values():
-                if len(known) > self.limit:
-                    known.clear()
+                known.age(self.limit)
+            first, later = self.memory["first"].young, self.memory["later"].young
             parts = [cut(text) for text in chunk]
             found = [list(map(later.get, rest)) for _, *rest in parts]
-            self._learn(first, list({p[0] for p in parts if p[0] not in first}), "")
+            self._learn("first", {p[0] for p in parts if p[0] not in first}, "")
             lacking = [k for k, ids in enumerate(found) if None in ids]
-            self._learn(later, list({p for k in lacking for p, ids in zip(parts[k][1:], found[k]) if ids is None}), " ")
+            self._learn("later", {p for k in lacking for p, ids in zip(parts[k][1:], found[k]) if ids is None}, " ")
             for k in lacking:
                 found[k] = map(later.__getitem__, parts[k][1:])
             for part, ids in zip(parts, found):
                 yield first[part[0]] + b"".join(ids)
 
-    def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        stems = self.memory["stems"]
-        split = []
-        for piece in new:
+    def _learn(self, kind: str, pieces: set[str], before: str) -> None:
+        known, marks = self.memory[kind], self.memory["marks"]
+        plain, marked = set(), []
+        for piece in known.recall(pieces):
             stem = piece.rstrip(MARKS)
-            whole = len(stem) == len(piece) or not stem or not stem[-1].isalnum()
-            split.append((before + piece, "") if whole else (before + stem, piece[len(stem) :]))
-        missing = list({part for pair in split for part in pair if part not in stems})
-        stems.update(zip(missing, self.encode_new(missing)))
-        known.update((piece, stems[stem] + stems[marks]) for piece, (stem, marks) in zip(new, split))
+            if len(stem) == len(piece) or not stem or not stem[-1].isalnum():
+                plain.add(piece)
+            else:
+                marked.append((piece, stem, piece[len(stem) :]))
+        plain.update(known.recall({stem for _, stem, _ in marked if stem not in known.young and stem not in plain}))
+        new = list(plain)
+        known.add(new, self.encode_new([before + piece for piece in new]))
+        new = marks.recall({mark for _, _, mark in marked if mark not in marks.young})
+        marks.add(new, self.encode_new(new))
+        known.add([piece for piece, _, _ in marked], [known.young[stem] + marks.young[mark] for _, stem, mark in marked])
+
+
+def joined(pieces: list[str], size: int) -> tuple[list[list[int]], list[int]]:
+    """(groups, others): places of pieces that begin with one space and neither go on nor end with white space, in groups of
+    ``size``, and of all others.
+
+    A group's pieces one behind the other are a text that is cut between them, so it may be encoded in one go.
+    """
+    plain, others = [], []
+    for k, piece in enumerate(pieces):
+        whole = piece[:1] == " " and len(piece) > 1 and not piece[1].isspace() and not piece[-1].isspace()
+        (plain if whole else others).append(k)
+    return [plain[at : at + size] for at in range(0, len(plain), size)], others

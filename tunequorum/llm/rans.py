@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tunequorum.llm.pieces import PieceEncoder, worker_memory
+from tunequorum.llm.pieces import PieceEncoder, joined, worker_memory
 
 SCALE_BITS = 20
 BLOCK_IDS = 1 << 16
@@ -33,7 +33,6 @@ SEGMENT_IDS = 1 << 21
 
 #: Pieces given to the tokenizer at a time, whose results are large objects, and pieces that a worker remembers.
 CALL_PIECES = 4096
-KNOWN_PIECES = 200_000
 
 _HEADER = "<4sIIQQ"  # magic, symbols, blocks, documents, ids
 _MAGIC = b"RANS"
@@ -193,6 +192,17 @@ class Segment:
         return np.concatenate(decoded) if decoded else np.zeros(0, np.uint32)
 
 
+def token_bytes(tokenizer) -> np.ndarray:
+    """Bytes of text that each id of a byte-level tokenizer stands for: one for each character of its name, or those of an
+    added token's own string."""
+    widths = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for name, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        widths[i] = len(name)
+    for i, added in tokenizer.get_added_tokens_decoder().items():
+        widths[i] = len(added.content.encode())
+    return widths
+
+
 def write_tokens(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
@@ -214,11 +224,27 @@ def write_tokens(
         tokenizer = Tokenizer.from_str(vocabulary.value)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        widths = token_bytes(tokenizer)
+
+        def encode_new(new: list[str]) -> list[bytes]:
+            groups, others = joined(new, CALL_PIECES)
+            out: list[bytes] = [b""] * len(new)
+            for group in groups:  # one call for many pieces; the bytes of the tokens say where each piece ends
+                own = [new[k] for k in group]
+                ids = np.array(tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.cumsum([len(p.encode("utf-8")) for p in own])
+                edges = np.r_[0, np.searchsorted(np.cumsum(widths[ids]), ends) + 1]
+                packed = ids.tobytes()
+                for k, a, b in zip(group, edges.tolist(), edges[1:].tolist()):
+                    out[k] = packed[4 * a : 4 * b]
+            for at in range(0, len(others), CALL_PIECES):
+                part = others[at : at + CALL_PIECES]
+                for k, e in zip(part, tokenizer.encode_batch_fast([new[k] for k in part], add_special_tokens=False)):
+                    out[k] = np.array(e.ids, "<u4").tobytes()
+            return out
+
         memory = worker_memory("library " + hashlib.sha256(vocabulary.value.encode()).hexdigest())
-        encoder = PieceEncoder(lambda new: [
-            np.array(e.ids, "<u4").tobytes() for k in range(0, len(new), CALL_PIECES)
-            for e in tokenizer.encode_batch_fast(new[k : k + CALL_PIECES], add_special_tokens=False)
-        ], memory, KNOWN_PIECES)
+        encoder = PieceEncoder(encode_new, memory)
         end = struct.pack("<I", end_id)
         part, segment = TaskContext.get().partitionId(), 0
         doc_ids, lengths, coded, size = [], [], [], 0
