@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import os
@@ -17,7 +18,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunequorum.llm.lexicon import Lexicon, build
-from tunequorum.llm.pieces import CHUNK_CHARS, PieceEncoder, chunks, pieces, worker_memory
+from tunequorum.llm.pieces import CHUNK_CHARS, PieceEncoder, worker_memory
 from tunequorum.runtime import durable
 
 #: Fixed value: how a byte-level tokenizer of this family splits text into words.
@@ -26,8 +27,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: The lexicon holds at most so many words (the most frequent) of at most so many bytes.
 LEXICON_WORDS = 1 << 16
 WORD_BYTES = 40
-#: Distinct words that a task counts before it hands them on, and length up to which merging scans all pairs.
-HELD_WORDS = 200_000
+#: Length up to which merging scans all pairs.
 SCAN = 48
 _NONE = 1 << 63
 
@@ -61,6 +61,12 @@ class Vocabulary:
             raise ValueError("only plain added tokens without spaces are supported")
         self.bytes_of |= {i: token.encode() for token, i in self.special.items()}
 
+    def byte_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes of all ids one behind the other, where each id's bytes start, how many they are)."""
+        names = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        widths = np.array([len(n) for n in names], np.int64)
+        return np.frombuffer(b"".join(names), np.uint8), np.cumsum(widths) - widths, widths
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word: the pair of the lowest rank, the leftmost first, is joined until none is left."""
         ids = [self.byte_ids[b] for b in word]
@@ -118,33 +124,28 @@ def split_words(text: str, word: regex.Pattern, special: regex.Pattern | None) -
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(word: binary, n) over all texts, for words of at most WORD_BYTES bytes."""
+    """(word: binary, n) over all texts, for words of at most WORD_BYTES bytes.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = regex.compile(WORD)
+    Texts are cut at single spaces and equal pieces counted first, so that each different piece is split into words once
+    for all its places.
+    """
+    cut = F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), " ", -1)).alias("at", "piece")
+    each = docs.select(cut).select(F.when(F.col("at") > 0, F.concat(F.lit(" "), F.col("piece"))).otherwise(F.col("piece")).alias("piece"))
 
-        def flush(held: Counter) -> pa.RecordBatch:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word = regex.compile(WORD)
+        for batch in batches:
             words: Counter = Counter()
-            for piece, n in held.items():
+            for piece, n in zip(batch.column("piece").to_pylist(), batch.column("n").to_pylist()):
                 for w in word.findall(piece):
                     words[w] += n
             short = [(b, n) for w, n in words.items() if len(b := w.encode("utf-8", "surrogatepass")) <= WORD_BYTES]
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in short], pa.binary()), pa.array([n for _, n in short], pa.int64())], ["word", "n"]
             )
 
-        held: Counter = Counter()
-        for batch in batches:
-            for chunk in chunks(t.as_py() for t in batch.column(0)):
-                for text in chunk:
-                    held.update(pieces(text))
-                if len(held) > HELD_WORDS:
-                    yield flush(held)
-                    held = Counter()
-        yield flush(held)
-
-    each = docs.select(text_col).mapInArrow(count, "word binary, n long")
-    return each.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = each.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).mapInArrow(split, "word binary, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(counts: DataFrame, limit: int) -> list[bytes]:
@@ -211,11 +212,16 @@ def encode_decode(
                     packed[w] = lexicon.packed_ids(n) if n >= 0 else np.array(vocabulary.merge(w.encode("utf-8")), "<u4").tobytes()
             return [b"".join(map(packed.__getitem__, words)) for words in split]
 
-        encoder = PieceEncoder(encode_new, worker_memory(lexicon_file))
+        encoder = PieceEncoder(encode_new, worker_memory("merged " + hashlib.sha256(shared.value.encode()).hexdigest()))
+        table, starts, widths = vocabulary.byte_table()
         for batch in batches:
             doc_ids, coded, texts, size = [], [], [], 0
             for doc_id, ids in zip(batch.column("id").to_pylist(), encoder(t.as_py() for t in batch.column("text"))):
-                decoded = b"".join(map(vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+                found = np.frombuffer(ids, "<u4")
+                size_of = widths[found]
+                stops = np.cumsum(size_of)
+                # every id's bytes, gathered from one table
+                decoded = table[np.repeat(starts[found] - stops + size_of, size_of) + np.arange(stops[-1] if len(stops) else 0)].tobytes()
                 doc_ids.append(doc_id)
                 coded.append(ids)
                 texts.append(decoded.decode("utf-8", "replace"))
