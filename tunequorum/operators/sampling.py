@@ -49,6 +49,8 @@ def with_draws(df: DataFrame, size: Column, want: Column, seed, *keys: Column) -
     They are the first places of a permutation of [0, size) that ``seed`` and ``keys`` choose, a Feistel network over a
     grid. The grid has fewer than sqrt(size) places too many; who lands there walks on until it is inside (cycle
     walking), which takes no more passes than there are such places. Rows without positions go.
+
+    The planner doesn't see how many rows come out and takes them for few: joins with them must be hinted, or it broadcasts them.
     """
     rows = F.ceil(F.sqrt(F.col("_n").cast("double")))
     width = ((F.col("_n") + F.col("_rows") - 1 - (F.col("_n") + F.col("_rows") - 1) % F.col("_rows")) / F.col("_rows")).cast("bigint")
@@ -86,7 +88,7 @@ def sample_user_history(history: DataFrame, users: DataFrame, n: int, seed: int)
     drawn = with_draws(sized, F.col("n_history"), F.lit(n), seed, F.col("user_id")).select(
         "user_id", (F.col("n_history") < n).alias("short"), "slot", F.col("drawn").alias("position_in_history")
     )
-    return drawn.join(history, ["user_id", "position_in_history"]).select(
+    return drawn.hint("merge").join(history, ["user_id", "position_in_history"]).select(
         "user_id", (F.col("slot") + 1).cast("bigint").alias("position"), "track_id", "short"
     )
 
@@ -105,7 +107,7 @@ def sample_group_history(
         numbered = number_rows(pool, [key], ["track_id"], "position_in_pool", 16)
         sizes = pool.groupBy(key).agg(F.count(F.lit(1)).alias("n_pool"))
         drawn = _draw_from_pool(groups, sizes, key, length, seed)
-        return drawn.join(numbered, [key, "position_in_pool"]).select(key, "position", "track_id", "short")
+        return drawn.hint("merge").join(numbered, [key, "position_in_pool"]).select(key, "position", "track_id", "short")
 
     # the pool is the members' histories laid end to end, addressed without building it
     ordered = Window.partitionBy(key).orderBy("user_id")
@@ -117,12 +119,12 @@ def sample_group_history(
     sizes = ranges.groupBy(key).agg(F.sum("n_history").alias("n_pool"))
     drawn = _draw_from_pool(groups, sizes, key, length, seed)
     addressed = (
-        drawn.join(ranges.select(key, "user_id", "_start", "_end"), key)
+        drawn.hint("merge").join(ranges.select(key, "user_id", "_start", "_end"), key)
         .where((F.col("position_in_pool") >= F.col("_start")) & (F.col("position_in_pool") < F.col("_end")))
         .select(key, "position", "short", "user_id",
                 (F.col("position_in_pool") - F.col("_start")).alias("position_in_history"))
     )
-    return addressed.join(history, ["user_id", "position_in_history"]).select(
+    return addressed.hint("merge").join(history, ["user_id", "position_in_history"]).select(
         key, "position", "track_id", "short"
     )
 
@@ -139,7 +141,7 @@ def random_members(population: DataFrame, column: str, draws: DataFrame, key: st
     index = id_index(population, column)
     size = population.where(F.col(column).isNotNull()).agg(F.countDistinct(column)).scalar()
     drawn = with_draws(draws.withColumn("_size", size), F.col("_size"), want, seed, F.col(key)).select(key, "slot", F.col("drawn").alias("idx"))
-    return drawn.join(index, "idx").select(key, (F.col("slot") + 1).cast("bigint").alias("position"), column)
+    return drawn.hint("merge").join(index, "idx").select(key, (F.col("slot") + 1).cast("bigint").alias("position"), column)
 
 
 def random_tracks(tracks: DataFrame, draws: DataFrame, key: str, want: Column, seed: int) -> DataFrame:
