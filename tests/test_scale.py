@@ -107,3 +107,31 @@ def test_few_and_many_cuts_count_alike():
     edges = np.concatenate([[0], np.cumsum([len(c) for c in cuts])])
     got = sc._at_least(scores, np.concatenate(cuts), edges)
     assert got.tolist() == [int((scores[r] >= c).sum()) for r, row in enumerate(cuts) for c in row]
+
+
+def test_neither_side_is_shuffled_for_each_cell_of_the_other(spark):
+    """The exchanges of a scoring query hold every user and every item once, whatever the number of tasks."""
+    users, items = (vectors(spark, name, np.random.default_rng(7).normal(size=(n, 4))) for name, n in (("user_id", 200), ("track_id", 300)))
+    asked = users.withColumn("cuts", F.array(F.lit(0.5)))
+    for df in (sc.score_pairs(users, items), sc.count_at_least(asked, items), sc.score_ends(users, items), ls.top_lists(users, items, 3)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "SortMergeJoin" not in plan and "Generate explode" not in plan
+
+
+def test_counts_compare_unrounded_scores_as_if_rounded(spark):
+    rng = np.random.default_rng(8)
+    raw = np.r_[rng.normal(size=2000), np.arange(-50, 50) / 1e6 + 5e-7, np.arange(-50, 50) * 1e6 + 0.1234565]
+    rounded = np.rint(raw * 1e6) / 1e6
+    for cut in np.r_[rounded[:20], rounded[-210:]]:
+        least = sc._least(np.array([cut]))[0]
+        assert ((raw >= least) == (rounded >= cut)).all()
+
+
+def test_top_lists_leave_out_more_than_a_list_is_long(spark):
+    values = np.random.default_rng(9).normal(size=(150, 4))
+    users, items = vectors(spark, "user_id", values[:2]), vectors(spark, "track_id", values)
+    order = np.lexsort((np.arange(150), -np.round(values[0] @ values.T, 6)))
+    gone = [(0, int(t)) for t in order[:140]] + [(0, None), (None, 3)]
+    exclude = spark.createDataFrame(gone, "user_id bigint, track_id bigint")
+    got = ls.top_lists(users, items, 20, exclude).where("user_id = 0").orderBy("rank").collect()
+    assert [r.track_id for r in got] == order[140:].tolist()
