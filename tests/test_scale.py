@@ -135,3 +135,12 @@ def test_top_lists_leave_out_more_than_a_list_is_long(spark):
     exclude = spark.createDataFrame(gone, "user_id bigint, track_id bigint")
     got = ls.top_lists(users, items, 20, exclude).where("user_id = 0").orderBy("rank").collect()
     assert [r.track_id for r in got] == order[140:].tolist()
+
+
+def test_draws_of_small_groups_are_not_put_into_one_task(spark):
+    """Adaptive execution sees groups before they are drawn for and would merge partitions that hold few bytes."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = spark.range(2000).select(F.col("id").alias("request_id"), F.lit(20).alias("playlist_length"))
+    sizes = spark.range(2000).select(F.col("id").alias("request_id"), F.lit(50).cast("long").alias("n_pool")).hint("merge")
+    per_task = sp._draw_from_pool(groups, sizes, "request_id", "playlist_length", 7).groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == n and sum(r["count"] for r in per_task) == 40000

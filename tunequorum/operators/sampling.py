@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tunequorum.functions.hashing import hash_number
+from tunequorum.operators.lists import partitions_of
 from tunequorum.operators.numbering import id_index, number_rows
 
 #: Rounds of the Feistel network.
@@ -130,7 +131,9 @@ def sample_group_history(
 
 
 def _draw_from_pool(groups: DataFrame, sizes: DataFrame, key: str, length: str, seed: int) -> DataFrame:
-    sized = groups.select(key, length).join(sizes, key)
+    # dealt to a set number of partitions: groups are small before they are drawn for, so adaptive execution would put many
+    # into one task, which then sorts all their draws
+    sized = groups.select(key, length).repartition(partitions_of(groups), key).join(sizes, key)
     return with_draws(sized, F.col("n_pool"), F.col(length), seed, F.col(key)).select(
         key, (F.col("n_pool") < F.col(length)).alias("short"), F.col("drawn").alias("position_in_pool"), (F.col("slot") + 1).alias("position")
     )
