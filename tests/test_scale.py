@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tunequorum.operators import evaluation as ev
 from tunequorum.operators import lists as ls
 from tunequorum.operators import rank_sums as rs
 from tunequorum.operators import ranking as rk
@@ -144,3 +145,30 @@ def test_draws_of_small_groups_are_not_put_into_one_task(spark):
     sizes = spark.range(2000).select(F.col("id").alias("request_id"), F.lit(50).cast("long").alias("n_pool")).hint("merge")
     per_task = sp._draw_from_pool(groups, sizes, "request_id", "playlist_length", 7).groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) == n and sum(r["count"] for r in per_task) == 40000
+
+
+def test_spread_sends_a_vector_once_to_a_part_and_not_to_every_entry(spark):
+    rng = np.random.default_rng(10)
+    values = rng.normal(size=(30, 4))
+    lists = [(k, int(t)) for k in range(300) for t in rng.integers(0, 34, size=rng.integers(1, 9))] + [(300, 33), (None, 1), (301, None)]
+    playlists = spark.createDataFrame(lists, "request_id bigint, track_id bigint")
+    got = ev.playlist_spread(playlists, vectors(spark, "track_id", values), ["request_id"])
+    want = {}
+    for k in range(300):
+        mine = values[[t for r, t in lists if r == k and t < 30]]
+        if len(mine):
+            want[k] = (np.sqrt(((mine - mine.mean(axis=0)) ** 2).sum(axis=1)).mean(), len(mine))
+    found = {r.request_id: (r.spread, r.n_tracks) for r in got.collect()}
+    assert found.keys() == want.keys()
+    assert all(found[k][1] == want[k][1] and abs(found[k][0] - want[k][0]) < 1e-9 for k in want)
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    # what meets the vectors are distinct tracks of a part
+    join = next(at for at, line in enumerate(lines) if "Join" in line)
+    assert any("HashAggregate(keys=[_part" in line for line in lines[join:])
+
+
+def test_spread_takes_tracks_that_come_twice_and_several_keys(spark):
+    items = spark.createDataFrame([(1, [0.0]), (1, [4.0]), (2, [2.0])], "track_id bigint, vec array<double>")
+    playlists = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 2), ("b", 1, 2)], "name string, length int, track_id bigint")
+    got = sorted(map(tuple, ev.playlist_spread(playlists, items, ["name", "length"]).collect()))
+    assert got == [("a", 1, pytest.approx(4 / 3), 3), ("b", 1, 0.0, 2)]
