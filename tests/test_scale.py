@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tunequorum.operators import evaluation as ev
 from tunequorum.operators import lists as ls
+from tunequorum.operators import outcomes as oc
 from tunequorum.operators import rank_sums as rs
 from tunequorum.operators import ranking as rk
 from tunequorum.operators import sampling as sp
@@ -172,3 +173,12 @@ def test_spread_takes_tracks_that_come_twice_and_several_keys(spark):
     playlists = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 2), ("b", 1, 2)], "name string, length int, track_id bigint")
     got = sorted(map(tuple, ev.playlist_spread(playlists, items, ["name", "length"]).collect()))
     assert got == [("a", 1, pytest.approx(4 / 3), 3), ("b", 1, 0.0, 2)]
+
+
+def test_no_rows_for_sessions_that_never_came(spark):
+    sessions = spark.createDataFrame([(1, 100 + d, f"2024-01-0{d} 00:00:00") for d in (1, 2, 3)], "user_id bigint, session_id bigint, at string").selectExpr("user_id", "session_id", "cast(at as timestamp_ntz) as timestamp")
+    runs = spark.createDataFrame([(7, "2024-01-01 12:00:00"), (8, "2024-01-09 00:00:00")], "request_id bigint, at string").selectExpr("request_id", "cast(at as timestamp_ntz) as timestamp")
+    members = spark.createDataFrame([(7, 1), (8, 1), (7, 2)], "request_id bigint, user_id bigint")
+    got = oc.next_sessions(runs, members, sessions, 20)
+    assert sorted(map(tuple, got.collect())) == [(7, 1, 102), (7, 1, 103)]
+    assert "_all" in got._jdf.queryExecution().optimizedPlan().toString()
