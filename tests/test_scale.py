@@ -182,3 +182,42 @@ def test_no_rows_for_sessions_that_never_came(spark):
     got = oc.next_sessions(runs, members, sessions, 20)
     assert sorted(map(tuple, got.collect())) == [(7, 1, 102), (7, 1, 103)]
     assert "_all" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def screened_and_not(users, items, ids, k, hidden=None):
+    """The best lists found with products in single precision first, and in double precision only."""
+    norms, found = np.sqrt((items * items).sum(axis=1)), []
+    for double in (False, True):
+        best = ls.BestSoFar(users, np.full(len(users), k))
+        best.small = None if double else best.small
+        for at in np.split(np.argsort(-norms, kind="stable"), 6):
+            best.show(ids[at], items[at], norms[at].max(), np.zeros(0, np.int64))
+        found.append(sorted(zip(best.rows.tolist(), best.whole.tolist(), best.ids.tolist())))
+    return found
+
+
+@pytest.mark.parametrize("kind", ["plain", "close", "copies", "large", "named"])
+def test_screened_lists_are_exact(kind):
+    rng = np.random.default_rng(11)
+    users, items, ids = rng.normal(size=(40, 8)), rng.normal(size=(1200, 8)), rng.permutation(1200)
+    if kind == "close":  # scores differ by less than single precision can tell
+        items = items[:1] + rng.normal(size=(1200, 8)) * 3e-6
+    if kind == "copies":  # more ties in a block than are multiplied one by one
+        items = items[np.arange(1200) % 5]
+    if kind == "large":
+        users, items = users * 1e5, items * 1e4
+    if kind == "named":
+        ids = np.array([f"t{i}" for i in ids], dtype=object)
+    screened, plain = screened_and_not(users, items, ids, 7)
+    assert screened == plain and len(plain) == 280
+
+
+def test_blocks_are_screened_in_single_precision(monkeypatch):
+    """Only products that may beat a score are made in double precision."""
+    made, products = [], ls.products
+    monkeypatch.setattr(ls, "products", lambda *a: made.append(len(a[2])) or products(*a))
+    rng = np.random.default_rng(12)
+    best = ls.BestSoFar(rng.normal(size=(20, 8)), np.full(20, 5))
+    for start in range(0, 5000, 500):
+        best.show(np.arange(start, start + 500), rng.normal(size=(500, 8)), 10.0, np.zeros(0, np.int64))
+    assert 0 < sum(made) < 20 * 5000 / 20
