@@ -221,3 +221,24 @@ def test_blocks_are_screened_in_single_precision(monkeypatch):
     for start in range(0, 5000, 500):
         best.show(np.arange(start, start + 500), rng.normal(size=(500, 8)), 10.0, np.zeros(0, np.int64))
     assert 0 < sum(made) < 20 * 5000 / 20
+
+
+@pytest.mark.parametrize("kind", ["plain", "close", "copies", "large"])
+def test_counts_in_single_precision_are_exact(kind):
+    rng = np.random.default_rng(13)
+    left, right = rng.normal(size=(30, 8)), rng.normal(size=(900, 8))
+    if kind == "close":
+        right = right[:1] + rng.normal(size=(900, 8)) * 3e-6
+    if kind == "copies":
+        right = right[np.arange(900) % 4]
+    if kind == "large":
+        left, right = left * 1e5, right * 1e4
+    lengths = np.array([0, 1, 2, 3, 9, 20] * 5)
+    edges = np.r_[0, np.cumsum(lengths)]
+    rows = np.repeat(np.arange(30), lengths)
+    cuts = np.rint((left[rows] * right[rng.integers(0, 900, len(rows))]).sum(axis=1) * 1e6) / 1e6
+    least, norms = sc._least(cuts), np.sqrt((left * left).sum(axis=1))
+    norm = np.sqrt((right * right).sum(axis=1).max())
+    got = sc._count_products(left, right, ls.single(left, norms.max()), ls.single(right, norm), ls.slack(norms, norm, 8), least, edges)
+    scores = left @ right.T
+    assert got.tolist() == [int((scores[r] >= c).sum()) for r, c in zip(rows, least)]
