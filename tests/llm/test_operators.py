@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import time
@@ -9,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -471,6 +473,48 @@ def test_pieces_may_be_encoded_together(library):
         assert library.encode("".join(given[k] for k in group), add_special_tokens=False).ids == apart
 
 
+EDGES = ["", " ", "\n", "a\n", "\na", "a \n b", "x  y", "end. ", "word,\nNext**\n\nü&& é%% ÷## 9!? a.b", "a\u00a0b \u00a0 c à d", "a \u3000b.\u2003 c",
+       "\x1c a \x85b", "<|endoftext|> a<|endoftext|>\n<|endoftext|>, it's 's\n're", "日本 語。 end", " à à\u00a0 à", "a....... b", "." * 40 + " x"]
+
+
+@pytest.mark.parametrize("window", [40, 300, 1 << 20])
+def test_windows_of_a_column_encode_as_whole_texts(library, window):
+    texts = [*EDGES, None, *fuzz(300), *EDGES[::-1], "", None]
+
+    def encode_new(new):
+        return [np.array(library.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in new]
+
+    for column in (pa.array(["left out", *texts])[1:], pa.array(texts[:5]), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        memory = pieces.Memory()
+        got, stops = [], []
+        for ids, ends in pieces.ArrayEncoder(encode_new, memory, 2, limit=1 << 14, window=window)(column):
+            stops += (len(got) + ends).tolist()
+            got += ids.tolist()
+            assert memory.held < (1 << 13) + 100_000 or window > 300  # half of the limit and what one window adds to it
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in column.to_pylist()]
+        assert [got[a:b] for a, b in zip([0, *stops], stops)] == want
+
+
+def test_words_need_the_model_only(library):
+    assert rans.words_apart(library)
+    changed = json.loads(library.to_str())
+    changed["added_tokens"].append(changed["added_tokens"][0] | {"content": "word", "id": 60_000})
+    assert not rans.words_apart(type(library).from_str(json.dumps(changed)))
+    changed = json.loads(library.to_str())
+    changed["model"]["vocab"]["eĠt"] = 60_000
+    changed["model"]["merges"].insert(0, ["e", "Ġt"])
+    assert not rans.words_apart(type(library).from_str(json.dumps(changed)))
+
+
+def test_token_files_of_many_kinds_of_text(spark, library, tmp_path, monkeypatch):
+    monkeypatch.setattr(rans, "SEGMENT_IDS", 700)
+    given = dict(enumerate([*EDGES, *fuzz(200), "the thes éthe " * 50, *["thntly and onshed ôn ÉTÉ\nThe, the** they."] * 3]))
+    rans.write_tokens(spark.createDataFrame(list(given.items()), "doc_id long, text string").repartition(3), f"{tmp_path}/tokens", BPE)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in rans.read_tokens(spark, f"{tmp_path}/tokens").collect()}
+    ids = {k: np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4") for k, t in given.items()}
+    assert got == {k: (len(found), zlib.crc32(found.tobytes())) for k, found in ids.items()}
+
+
 # --- pipeline ---------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("with_counts", [True, False])

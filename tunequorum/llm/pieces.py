@@ -7,6 +7,9 @@ import sys
 from collections.abc import Callable, Iterable, Iterator
 from types import ModuleType
 
+import numpy as np
+import pyarrow as pa
+
 #: Byte-level tokenizers never join what stands on the two sides of a place before a single space between
 #: characters that aren't white space, so a text may be cut there.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -73,11 +76,14 @@ class Memory:
             self.young, self.old, self.held = {}, self.young, 0
 
 
+def worker_values() -> dict:
+    """What outlives a task in its Python worker; functions sent by value have no globals that do."""
+    return vars(sys.modules.setdefault("tunequorum_worker_memory", ModuleType("tunequorum_worker_memory")))
+
+
 def worker_memory(key: str) -> dict[str, Memory]:
-    """Memories that outlive a task in its Python worker; functions sent by value have no globals that do. There is one
-    for each ``key``, which names what the ids depend on."""
-    module = sys.modules.setdefault("tunequorum_worker_memory", ModuleType("tunequorum_worker_memory"))
-    return vars(module).setdefault(key, {kind: Memory() for kind in ("first", "later", "marks")})
+    """Memories that outlive a task. There is one for each ``key``, which names what the ids depend on."""
+    return worker_values().setdefault(key, {kind: Memory() for kind in ("first", "later", "marks")})
 
 
 class PieceEncoder:
@@ -136,3 +142,125 @@ def joined(pieces: list[str], size: int) -> tuple[list[list[int]], list[int]]:
         whole = piece[:1] == " " and len(piece) > 1 and not piece[1].isspace() and not piece[-1].isspace()
         (plain if whole else others).append(k)
     return [plain[at : at + size] for at in range(0, len(plain), size)], others
+
+
+#: Bytes of text that are cut and looked up together, and what ArrayEncoder remembers of pieces.
+WINDOW_BYTES = 2 << 20
+ARRAY_MEMORY_BYTES = 64 << 20
+#: Marks behind a letter or digit that are cut off together, at most.
+MARK_RUN = 4
+#: More bytes than those behind a place that decide whether it is one: marks, a space or line feed, and white space of 3 bytes.
+AHEAD = 16
+
+
+def _among(of: bytes) -> np.ndarray:
+    return np.isin(np.arange(256), list(of))
+
+
+_WHITE = _among(b" \t\n\v\f\r\x1c\x1d\x1e\x1f")
+_MARK = _among(MARKS.encode())
+_ALNUM = _among(bytes(b for b in range(128) if chr(b).isalnum()))
+#: Second bytes of the letters from U+00C0 to U+00FF, whose first byte is 0xC3.
+_LATIN = _among(bytes(c - 0x40 for c in range(0xC0, 0x100) if chr(c).isalpha()))
+#: First bytes of white space beyond ASCII in UTF-8, and all of it.
+_WIDE_FIRST = _among(b"\xc2\xe1\xe2\xe3")
+_WIDE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def cut_places(data: np.ndarray) -> np.ndarray:
+    """For every byte of UTF-8 ``data`` whether a piece may begin there: at a single space or on both sides of a single line
+    feed between other characters than white space, and at up to MARK_RUN marks between a letter or digit and such a place.
+    """
+    white = _WHITE[data]
+    lead = np.flatnonzero(_WIDE_FIRST[data])
+    for wide in _WIDE if len(lead) else []:
+        at = lead[lead + len(wide) <= len(data)]
+        for j, byte in enumerate(wide):
+            at = at[data[at + j] == byte]
+        for j in range(len(wide)):
+            white[at + j] = True
+    alone = white.copy()
+    alone[1:] &= ~white[:-1]
+    alone[:-1] &= ~white[1:]
+    line = alone & (data == 0x0A)
+    places = line | (alone & (data == 0x20))
+    places[1:] |= line[:-1]
+    end = np.flatnonzero(places[1:] & _MARK[data[:-1]])  # marks that stand last in a run
+    for _ in range(MARK_RUN):
+        end = end[(end > 0) & _MARK[data[end]]]
+        before = data[end - 1]
+        places[end[_ALNUM[before] | (_LATIN[before] & (end > 1) & (data[end - 2] == 0xC3))]] = True
+        end = end - 1
+    return places
+
+
+class ArrayEncoder:
+    """Encodes a column of texts through ``encode_new``, which gets distinct strings and returns each one's packed ids.
+
+    Works on windows of the column's bytes: a window is cut into pieces without copying them, each of its different pieces is
+    looked up once, and the ids of all are gathered from those. However long texts are, what is held is bounded by the
+    window and by ``limit`` bytes of ``memory``, as long as pieces are.
+    """
+
+    def __init__(
+        self, encode_new: Callable[[list[str]], list[bytes]], memory: Memory, end_id: int, limit: int = ARRAY_MEMORY_BYTES,
+        window: int = WINDOW_BYTES,
+    ):
+        self.encode_new, self.memory, self.end, self.limit, self.window = encode_new, memory, np.array([end_id], "<u4").tobytes(), limit, window
+
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, stops) of each window: token ids, the end id behind each text, and the places behind the end ids. A text's
+        ids may begin in windows before the one where they stop; null is empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        _, edges, data = texts.buffers()
+        edges = np.frombuffer(edges, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = np.frombuffer(data or b"", np.uint8)[edges[0] : edges[-1]]
+        edges = edges - edges[0]
+        at, done, window = 0, 0, self.window
+        while done < len(texts):
+            stop = min(at + window, len(data))
+            part = data[at:stop]
+            places = cut_places(part)
+            places[edges[np.searchsorted(edges, at) : np.searchsorted(edges, stop)] - at] = True
+            places[:1] = True
+            starts = np.flatnonzero(places)
+            if stop < len(data):  # places near the window's end depend on bytes behind it
+                starts = starts[starts < len(part) - AHEAD]
+                if len(starts) < 2:
+                    window *= 2
+                    continue
+                stop, starts = at + int(starts[-1]), starts[:-1]
+            last = int(np.searchsorted(edges[1:], stop, "right"))
+            yield self._window(data[at:stop], starts, edges[done + 1 : last + 1] - at)
+            at, done, window = stop, last, self.window
+
+    def _window(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bounds = np.append(starts, len(data)).astype(np.int32) if len(starts) else np.zeros(1, np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        names = found.dictionary.to_pylist()
+        packed = [*self._learned(names), self.end]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first = (np.cumsum(sizes) - sizes).astype(np.int32)
+        before = np.searchsorted(bounds[:-1], ends)  # pieces before the end of each text
+        which = np.insert(found.indices.to_numpy(), before, len(names))
+        size_of = sizes[which]
+        stops = np.cumsum(size_of)
+        places = np.repeat(first[which] - (stops - size_of).astype(np.int32), size_of)
+        places += np.arange(len(places), dtype=np.int32)
+        return np.frombuffer(b"".join(packed), "<u4")[places], stops[before + np.arange(len(ends))]
+
+    def _learned(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of different pieces."""
+        known = self.memory
+        known.age(self.limit)
+        found = list(map(known.young.get, pieces))
+        lacking = [k for k, ids in enumerate(found) if ids is None]
+        if lacking:
+            again = list(map(known.old.get, [pieces[k] for k in lacking]))
+            new = [k for k, ids in zip(lacking, again) if ids is None]
+            made = iter(self.encode_new([pieces[k].decode("utf-8") for k in new]))
+            again = [next(made) if ids is None else ids for ids in again]
+            known.add([pieces[k] for k in lacking], again)
+            for k, ids in zip(lacking, again):
+                found[k] = ids
+        return found

@@ -13,26 +13,36 @@ between documents. A segment is one row of a Parquet table: a self-contained bin
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tunequorum.llm.pieces import PieceEncoder, joined, worker_memory
+from tunequorum.llm.bpe import byte_characters
+from tunequorum.llm.pieces import ArrayEncoder, Memory, joined, worker_values
+
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 SCALE_BITS = 20
 BLOCK_IDS = 1 << 16
 LANES = 128
 SEGMENT_IDS = 1 << 21
 
-#: Pieces given to the tokenizer at a time, whose results are large objects, and pieces that a worker remembers.
+#: Pieces given to the tokenizer at a time, whose results are large objects.
 CALL_PIECES = 4096
+#: Words given to its model at a time.
+CALL_WORDS = 64
+#: Letters below this have long been letters in every version of Unicode.
+LATIN_END = "\u0250"
 
 _HEADER = "<4sIIQQ"  # magic, symbols, blocks, documents, ids
 _MAGIC = b"RANS"
@@ -49,7 +59,12 @@ class FrequencyTable:
     @classmethod
     def of(cls, ids: np.ndarray) -> FrequencyTable:
         """Every symbol gets one slot and its share of the others; the most frequent one also gets the rest."""
-        symbols, counts = np.unique(ids, return_counts=True)
+        if len(ids) and ids.max() < 1 << SCALE_BITS:
+            every = np.bincount(ids)
+            symbols = np.flatnonzero(every)
+            counts = every[symbols]
+        else:
+            symbols, counts = np.unique(ids, return_counts=True)
         if len(symbols) > 1 << SCALE_BITS:
             raise ValueError("more symbols than slots")
         spare = (1 << SCALE_BITS) - len(symbols)
@@ -58,6 +73,14 @@ class FrequencyTable:
             frequencies[np.argmax(counts)] += (1 << SCALE_BITS) - frequencies.sum()
         return cls(symbols.astype(np.uint32), frequencies.astype(np.uint32))
 
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """The place of each id, all of which are symbols, among the symbols."""
+        if not len(ids) or self.symbols[-1] >= 1 << SCALE_BITS:
+            return np.searchsorted(self.symbols, ids)
+        place = np.zeros(int(self.symbols[-1]) + 1, np.int64)
+        place[self.symbols] = np.arange(len(self.symbols))
+        return place[ids]
+
     def starts(self) -> np.ndarray:
         return np.r_[0, np.cumsum(self.frequencies.astype(np.uint64))[:-1]].astype(np.uint64)
 
@@ -77,7 +100,7 @@ def encode_blocks(ids: np.ndarray, table: FrequencyTable) -> tuple[np.ndarray, l
     steps, there = _grid(n)
     blocks = there.shape[1]
     index = np.zeros(blocks * steps * LANES, np.int64) if blocks < 2 else np.zeros(blocks * BLOCK_IDS, np.int64)
-    index[:n] = np.searchsorted(table.symbols, ids)
+    index[:n] = table.places(ids)
     index = index.reshape(blocks, steps, LANES)
     frequency, start = table.frequencies.astype(np.uint64), table.starts()
     state = np.full((blocks, LANES), _LOW, np.uint64)
@@ -131,7 +154,7 @@ def _crc(data: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(data, "<u4").tobytes())
 
 
-def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
+def pack_segment(doc_ids: list[int | None], lengths: list[int] | np.ndarray, ids: np.ndarray) -> bytes:
     table = FrequencyTable.of(ids)
     state, words = encode_blocks(ids, table)
     head = struct.pack(_HEADER, _MAGIC, len(table.symbols), len(words), len(doc_ids), len(ids))
@@ -203,6 +226,31 @@ def token_bytes(tokenizer) -> np.ndarray:
     return widths
 
 
+def words_apart(tokenizer: Tokenizer) -> bool:
+    """Whether the model alone encodes words of letters behind spaces as the whole tokenizer does, however many together:
+    nothing but the byte-level split comes before it, no token goes on from a letter over a space, and no added token is
+    made of letters."""
+    settings = json.loads(tokenizer.to_str())
+    before, model = settings["pre_tokenizer"] or {}, settings["model"]
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    if not plain or settings["normalizer"] or model["type"] != "BPE" or model.get("dropout") or model.get("ignore_merges"):
+        return False
+    if any(model.get(k) for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+        return False
+    added = [t["content"].strip() for t in settings["added_tokens"]]
+    if any(a.isalpha() or not a for a in added):
+        return False
+    chars = byte_characters()
+    space = next(c for c, b in chars.items() if b == 0x20)
+    for name in model["vocab"]:
+        for at in range(1, len(name) if space in name[1:] and all(c in chars for c in name) else 0):
+            if name[at] == space != name[at - 1]:  # no word of letters may end like what stands before that space
+                last = bytes(chars[c] for c in name[:at]).decode("utf-8", "ignore")[-1:]
+                if not last or last.isalpha():
+                    return False
+    return True
+
+
 def write_tokens(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
@@ -214,6 +262,7 @@ def write_tokens(
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())  # the vocabulary's own size
+    byte_names = "".join(sorted(byte_characters(), key=byte_characters().get))
     order = F.xxhash64("text")
     ordered = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartitionByRange("id", order)
 
@@ -221,52 +270,81 @@ def write_tokens(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(vocabulary.value)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        widths = token_bytes(tokenizer)
+        key = hashlib.sha256(vocabulary.value.encode()).hexdigest()
+        kept = worker_values()
+        if ("tokenizer", key) not in kept:
+            made = Tokenizer.from_str(vocabulary.value)
+            made.no_truncation()
+            made.no_padding()
+            kept["tokenizer", key] = made, token_bytes(made), words_apart(made)
+        tokenizer, widths, apart = kept["tokenizer", key]
+
+        def split(ids: list[int], lengths: list[int]) -> list[bytes]:
+            """The ids of pieces that were encoded together; the bytes of the tokens say where each piece ends."""
+            ids = np.array(ids, "<u4")
+            edges = (4 * np.r_[0, np.searchsorted(np.cumsum(widths[ids]), np.cumsum(lengths)) + 1]).tolist()
+            packed = ids.tobytes()
+            return [packed[a:b] for a, b in zip(edges, edges[1:])]
+
+        def encode_joined(parts: list[str]) -> list[bytes]:
+            ids = tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids
+            return split(ids, [len(p.encode("utf-8")) for p in parts])
+
+        def encode_words(parts: list[str]) -> list[bytes]:
+            """Pieces that are one word each: they need the tokenizer's model only."""
+            packed = "".join(parts).encode("utf-8").decode("latin-1").translate(byte_names)
+            return split([t.id for t in tokenizer.model.tokenize(packed)], [len(p.encode("utf-8")) for p in parts])
 
         def encode_new(new: list[str]) -> list[bytes]:
-            groups, others = joined(new, CALL_PIECES)
             out: list[bytes] = [b""] * len(new)
-            for group in groups:  # one call for many pieces; the bytes of the tokens say where each piece ends
-                own = [new[k] for k in group]
-                ids = np.array(tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, "<u4")
-                ends = np.cumsum([len(p.encode("utf-8")) for p in own])
-                edges = np.r_[0, np.searchsorted(np.cumsum(widths[ids]), ends) + 1]
-                packed = ids.tobytes()
-                for k, a, b in zip(group, edges.tolist(), edges[1:].tolist()):
-                    out[k] = packed[4 * a : 4 * b]
-            for at in range(0, len(others), CALL_PIECES):
-                part = others[at : at + CALL_PIECES]
-                for k, e in zip(part, tokenizer.encode_batch_fast([new[k] for k in part], add_special_tokens=False)):
-                    out[k] = np.array(e.ids, "<u4").tobytes()
+
+            def take(places: list[int], size: int, encode: Callable[[list[str]], list[bytes]], before: str = "") -> None:
+                for at in range(0, len(places), size):
+                    part = places[at : at + size]
+                    for k, ids in zip(part, encode([before + new[k] for k in part])):
+                        out[k] = ids[4 * len(before) :]
+
+            words = [k for k, p in enumerate(new) if p[:1] == " " and p[1:].isalpha() and (p.isascii() or max(p) < LATIN_END)] if apart else []
+            take(words, CALL_WORDS, encode_words)
+            rest = sorted(set(range(len(new))).difference(words))
+            groups, others = joined([new[k] for k in rest], CALL_PIECES)
+            for group in groups:
+                take([rest[k] for k in group], CALL_PIECES, encode_joined)
+            others = [rest[k] for k in others]
+            # pieces without white space at an end may stand behind line feeds, which are one token each
+            bare = [k for k in others if new[k] and not new[k][0].isspace() and not new[k][-1].isspace()]
+            take(bare, CALL_PIECES, encode_joined, "\n")
+            take(sorted(set(others).difference(bare)), CALL_PIECES, lambda parts: [
+                np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+            ])
             return out
 
-        memory = worker_memory("library " + hashlib.sha256(vocabulary.value.encode()).hexdigest())
-        encoder = PieceEncoder(encode_new, memory)
-        end = struct.pack("<I", end_id)
+        encoder = ArrayEncoder(encode_new, kept.setdefault(("memory", key), Memory()), end_id)
         part, segment = TaskContext.get().partitionId(), 0
-        doc_ids, lengths, coded, size = [], [], [], 0
+        doc_ids, stops, coded, size = [], [], [], 0  # of the segment in work
 
         def flush() -> pa.RecordBatch:
-            payload = pack_segment(doc_ids, lengths, np.frombuffer(b"".join(coded), "<u4"))
+            lengths = np.diff(np.concatenate([[0], *stops]))
+            payload = pack_segment(doc_ids[: len(lengths)], lengths, np.concatenate(coded))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([segment], pa.int64()), pa.array([size], pa.int64()), pa.array([payload], pa.binary())],
                 ["part", "segment", "n_ids", "payload"],
             )
 
         for batch in batches:
-            texts = (t.as_py() for t in batch.column("text"))
-            for doc_id, packed in zip(batch.column("id").to_pylist(), encoder(texts)):
-                doc_ids.append(doc_id)
-                coded.append(packed + end)
-                lengths.append(len(coded[-1]) // 4)
-                size += lengths[-1]
-                if size >= SEGMENT_IDS:
+            doc_ids += batch.column("id").to_pylist()
+            for ids, ends in encoder(batch.column("text")):
+                while len(ends) and size + ends[-1] >= SEGMENT_IDS:  # a segment ends with the first document that fills it
+                    k = int(np.searchsorted(ends, SEGMENT_IDS - size)) + 1
+                    stops.append(size + ends[:k])
+                    coded.append(ids[: ends[k - 1]])
+                    ids, ends, size = ids[ends[k - 1] :], ends[k:] - ends[k - 1], size + int(ends[k - 1])
                     yield flush()
-                    segment += 1
-                    doc_ids, lengths, coded, size = [], [], [], 0
+                    doc_ids = doc_ids[sum(map(len, stops)) :]
+                    segment, stops, coded, size = segment + 1, [], [], 0
+                stops.append(size + ends)
+                coded.append(ids)
+                size += len(ids)
         if doc_ids:
             yield flush()
 
