@@ -1,6 +1,7 @@
 """What keeps queries within memory and disk: no broadcast of exploded rows, no score of a user and a track in a shuffle."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,3 +243,45 @@ def test_counts_in_single_precision_are_exact(kind):
     got = sc._count_products(left, right, ls.single(left, norms.max()), ls.single(right, norm), ls.slack(norms, norm, 8), least, edges)
     scores = left @ right.T
     assert got.tolist() == [int((scores[r] >= c).sum()) for r, c in zip(rows, least)]
+
+
+def test_users_whose_cuts_are_settled_are_not_multiplied(monkeypatch):
+    rng = np.random.default_rng(31)
+    left, blocks = rng.normal(size=(50, 6)), [rng.normal(size=(200, 6)) for _ in range(5)]
+    lengths = rng.integers(0, 4, 50)
+    cuts = np.round(rng.normal(size=lengths.sum()) * 4, 6)
+    exact, limited = (
+        sc._Counts(list(range(50)), pa.int64(), left, cuts, lengths, limits) for limits in (None, np.full(50, 20))
+    )
+    rows = []
+    count = sc._count_products
+    monkeypatch.setattr(sc, "_count_products", lambda left, *others: rows.append(len(left)) or count(left, *others))
+    for block in blocks:
+        exact.show(left, block)
+    assert rows == [50] * 5
+    rows.clear()
+    for block in blocks:
+        limited.show(left, block)
+    assert rows[0] == 50 and sum(rows) < 200
+    scores = np.round(left @ np.concatenate(blocks).T, 6)
+    n = [(scores[u] >= c).sum() for u, c in zip(np.repeat(np.arange(50), lengths), cuts)]
+    assert exact.result()["n"].to_pylist() == n
+    assert np.minimum(limited.counts, 20).tolist() == np.minimum(n, 20).tolist()
+
+
+@pytest.mark.parametrize("k", [1, 10])
+def test_ranks_up_to_k_give_the_same_precision_and_recall(spark, monkeypatch, k):
+    monkeypatch.setattr(ls, "ITEMS", 64)
+    monkeypatch.setattr(ev, "CUTS_PER_ROW", 4)
+    rng = np.random.default_rng(32)
+    items = vectors(spark, "track_id", np.concatenate([rng.normal(size=(300, 5)), np.ones((300, 5))]))  # many ties
+    users = vectors(spark, "user_id", rng.normal(size=(40, 5)))
+    split = spark.createDataFrame(
+        [(u, int(t), bool(rng.random() < 0.5)) for u in range(40) for t in rng.choice(600, 20, replace=False)], "user_id long, track_id long, is_train boolean"
+    )
+    whole, some = ev.evaluation_ranks(users, items, split), ev.evaluation_ranks(users, items, split, upto=k)
+    columns = ["user_id", "track_id", "score", "order", "n_candidates", "n_positives", "rank"]
+    assert sorted(some.select(columns).collect()) == sorted(whole.withColumn("rank", F.least("rank", F.lit(k).cast("bigint"))).select(columns).collect())
+    assert some.schema == whole.schema
+    a, b = (ev.mean_metrics(ev.user_metrics(r, k)).first() for r in (whole, some))
+    assert (a.precision, a.recall) == (b.precision, b.recall)
