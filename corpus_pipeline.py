@@ -27,6 +27,7 @@ def stage(function: Stage) -> Stage:
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         delete_scratch(spark, _left)
+        _left.clear()
         mark = scratch_mark()
         out = function(spark, docs, sf_dir)
         _left[:] = scratch_since(mark)
