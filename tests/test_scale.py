@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tunequorum import runtime as rt
 from tunequorum.operators import evaluation as ev
 from tunequorum.operators import lists as ls
 from tunequorum.operators import outcomes as oc
@@ -285,3 +286,25 @@ def test_ranks_up_to_k_give_the_same_precision_and_recall(spark, monkeypatch, k)
     assert some.schema == whole.schema
     a, b = (ev.mean_metrics(ev.user_metrics(r, k)).first() for r in (whole, some))
     assert (a.precision, a.recall) == (b.precision, b.recall)
+
+
+def test_workers_get_few_blocks_at_once_and_files_hold_few(spark, monkeypatch):
+    """Rows with matrix blocks are megabytes: a batch of 64 MB of them, or a page of a hundred, is more than an executor has to spare."""
+    monkeypatch.setattr(ls, "ITEMS", 512)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    users, items = (vectors(spark, name, np.random.default_rng(14).normal(size=(n, 64))) for name, n in (("user_id", 70), ("track_id", 20000)))
+    met = sc._pairs(users, items.coalesce(1))
+    size = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in batches)
+    sizes = [r.size for r in met.mapInArrow(size, "size long").collect()]
+    assert sum(sizes) > 2 * (4 << 20) and max(sizes) <= (4 << 20) + (1 << 20)
+    for blocks in (sc._pairs(users, items.coalesce(1)), ls.item_blocks(items.coalesce(1))):
+        files = [f for f in blocks.inputFiles() if "/tables/" in f]
+        stored = spark.read.parquet(*files)
+        assert stored.count() >= 40 and stored.groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0] <= 4
+
+
+def test_limit_of_batches_that_is_smaller_stays(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
+    rt.small_batches(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(1 << 20)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
