@@ -308,3 +308,89 @@ def test_limit_of_batches_that_is_smaller_stays(spark):
     rt.small_batches(spark)
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(1 << 20)
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def made(kind, rng, n_users=30, n_items=900):
+    u, i = rng.normal(size=(n_users, 8)), rng.normal(size=(n_items, 8))
+    if kind == "copies":
+        i = i[np.arange(n_items) % 7]
+    if kind == "close":  # scores differ by less than single precision can tell
+        i = i[:1] + rng.normal(size=(n_items, 8)) * 3e-6
+    if kind == "large":
+        u, i = u * 1e4, i * 1e3
+    if kind == "same":
+        i = np.ones((n_items, 8))
+    return u, i
+
+
+KINDS = ["plain", "copies", "close", "large", "same"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_ranks_of_wanted_tracks_are_exact(kind):
+    u, i = made(kind, np.random.default_rng(41))
+    scores = np.rint(u @ i.T * 1e6)
+    ranks = np.argsort(np.argsort(-scores, axis=1, kind="stable"), axis=1, kind="stable")
+    sizes = np.array([1, 5, 40] * 10)
+    ats = np.concatenate([np.random.default_rng(42 + k).choice(900, n, replace=False) for k, n in enumerate(sizes)])
+    of = np.repeat(np.arange(30), sizes)
+    cuts = rs.Cuts(u, sizes, ats, scores[of, ats].astype(np.int64))
+    plain = np.zeros(len(ats), np.int64)
+    for at in np.split(np.arange(900), 4):
+        cuts.show(at[0], i[at])
+        inside = (ats >= at[0]) & (ats <= at[-1])
+        rs._count_ranks(scores[:, at], cuts.cuts, np.clip(ats - at[0], 0, len(at)), inside, cuts.edges, plain, np.zeros(len(ats)))
+    assert cuts.counts.tolist() == plain.tolist() == ranks[of, ats].tolist()
+    assert cuts.copies.tolist() == [1] * len(ats)
+
+
+def test_ties_of_wanted_tracks_count_as_in_a_sorted_block():
+    u, i = made("copies", np.random.default_rng(43))
+    scores, ats = np.rint(u @ i.T * 1e6), np.arange(30) * 30
+    cuts = rs.Cuts(u, np.ones(30, np.int64), ats, scores[np.arange(30), ats].astype(np.int64))
+    cuts.show(0, i)
+    counts, ties = np.zeros(30, np.int64), np.zeros(30)
+    rs._count_ranks(scores, cuts.cuts, ats, np.ones(30, bool), cuts.edges, counts, ties)
+    assert cuts.counts.tolist() == counts.tolist() and cuts.ties.tolist() == ties.tolist() and ties.any()
+
+
+def shown(u, i, sizes, of, shares, wanted):
+    scores = np.rint(u @ i.T * 1e6)
+    top, low = scores[:, ::9].max(axis=1), scores[:, ::9].min(axis=1)
+    whole = np.column_stack([top, np.maximum((top - low) / (rs.BINS - 2), 1.0), u])
+    counts, errors, ranges = np.zeros((len(u), rs.BINS), np.int64), np.zeros(len(u)), rs.Ranges(whole)
+    for at in range(0, len(i), 300):
+        rs._count_places(ranges, i[at : at + 300], counts, errors)
+    assert (counts.sum(axis=1) == len(i)).all()
+    block = rs.GroupBlock(wanted, sizes, of, shares, whole, np.c_[np.zeros(len(u), np.int64), counts.cumsum(axis=1)], errors)
+    for at in range(0, len(i), 300):
+        block.show(at, i[at : at + 300])
+    block.settle()
+    return scores, block
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_groups_keep_their_best_tracks_within_bounds(kind):
+    rng = np.random.default_rng(44)
+    u, i = made(kind, rng)
+    sizes, wanted = np.array([1, 2, 3, 4] * 6), np.array([5, 17, 1] * 8)
+    of = np.concatenate([rng.choice(30, n, replace=False) for n in sizes])
+    shares = rng.choice([1.0, 0.25, 3.0], len(of))
+    scores, block = shown(u, i, sizes, of, shares, wanted)
+    ranks = np.argsort(np.argsort(-scores, axis=1, kind="stable"), axis=1, kind="stable")
+    edges = np.r_[0, np.cumsum(sizes)]
+    for g, found in enumerate(block.found):
+        mine = slice(edges[g], edges[g + 1])
+        sums = (ranks[of[mine]] * shares[mine][:, None]).sum(axis=0)
+        assert set(np.lexsort((np.arange(900), sums))[: wanted[g]]) <= set(found.at.tolist())
+        assert (found.low <= sums[found.at] + 1e-9).all() and (sums[found.at] <= found.high + 1e-9).all()
+        assert (found.scores == scores[of[mine]][:, found.at]).all()
+
+
+def test_groups_make_few_products_in_double_precision(monkeypatch):
+    made_again, products = [], ls.products
+    monkeypatch.setattr(ls, "products", lambda *a: made_again.append(len(a[2])) or products(*a))
+    rng = np.random.default_rng(45)
+    u, i = rng.normal(size=(30, 8)), rng.normal(size=(9000, 8))
+    shown(u, i, np.full(40, 3), np.concatenate([rng.choice(30, 3, replace=False) for _ in range(40)]), np.ones(120), np.full(40, 10))
+    assert 0 < sum(made_again) < 40 * 3 * 9000 / 10
